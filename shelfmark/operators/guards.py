@@ -7,6 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..local import stated_rows
+
 
 class InputError(ValueError):
     """The input does not allow the run."""
@@ -38,7 +40,7 @@ def select_sites(sites: DataFrame, names: Sequence[str] | None = None, *,
     """
     if not names:
         return sites if include_disabled else sites.where("enabled")
-    wanted = sites.sparkSession.createDataFrame([(n,) for n in names], "name string")
+    wanted = stated_rows(sites.sparkSession, ["name"], [(n,) for n in names])
     unknown = sorted(r[0] for r in wanted.join(sites, "name", "left_anti").collect())
     if unknown:
         raise InputError(f"unknown site(s): {', '.join(unknown)}")

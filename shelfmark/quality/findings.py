@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..local import stated_rows
+
 ERROR, WARN = "ERROR", "WARN"
-FINDING = "level string, `where` string, check string, n bigint, sample string"
+FINDING = {"level": pa.string(), "where": pa.string(), "check": pa.string(), "n": pa.int64(),
+           "sample": pa.string()}
 
 
 class QualityError(RuntimeError):
@@ -35,7 +39,7 @@ def raised(frame: DataFrame, candidates: Sequence[Column]) -> DataFrame:
 
 def stated(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
     """Findings known without looking at data: ``(level, where, check, n, sample)``."""
-    return spark.createDataFrame(list(rows), FINDING)
+    return stated_rows(spark, FINDING, rows)
 
 
 def together(frames: Iterable[DataFrame]) -> DataFrame:

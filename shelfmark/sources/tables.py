@@ -12,10 +12,14 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.stamps import dataset_of
+from ..local import empty_frame, stated_rows
+
 APPEND, REPLACE = "append", "replace"
 _COMMIT = "table string, mode string, n_rows bigint, schema string, load bigint"
 
@@ -59,7 +63,7 @@ class TableStore:
         try:
             return self.read(table)
         except TableMissing:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
 
     def last_load(self, table: str) -> int | None:
         return max((r["load"] for r in self._commits() if r["table"] == table), default=None)
@@ -67,8 +71,8 @@ class TableStore:
     def counts(self) -> DataFrame:
         """``table, load, mode, n_rows`` of every committed write."""
         rows = [(r["table"], r["load"], r["mode"], r["n_rows"]) for r in self._commits()]
-        return self.spark.createDataFrame(
-            rows, "table string, load bigint, mode string, n_rows bigint")
+        return stated_rows(self.spark, {"table": pa.string(), "load": pa.int64(),
+                                        "mode": pa.string(), "n_rows": pa.int64()}, rows)
 
     def begin(self) -> Load:
         number = max((r["load"] for r in self._commits()), default=0) + 1
@@ -119,15 +123,14 @@ class Load:
         return self.store.read(table).unionByName(mine)
 
     def commit(self) -> None:
-        rows = self.store.spark.createDataFrame(
-            self.written, "table string, mode string, n_rows bigint, schema string")
+        rows = stated_rows(self.store.spark, {
+            "table": pa.string(), "mode": pa.string(), "n_rows": pa.int64(),
+            "schema": pa.string()}, self.written)
         (rows.coalesce(1).write.mode("overwrite")
          .json(f"{self.store.root}/commits/load={self.number}"))
 
 
 def dataset_files(files: DataFrame) -> DataFrame:
     """``dataset, files`` from a listing with ``file_path``: parts per dataset folder."""
-    from ..functions.stamps import dataset_of
-
     return (files.groupBy(dataset_of(F.col("file_path")).alias("dataset"))
             .agg(F.count(F.lit(1)).alias("files")))

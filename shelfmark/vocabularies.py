@@ -14,9 +14,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .functions.text import fold
+from .local import stated_rows
 
 # The vocabularies small enough to be stated here. Brands and
 # categories are parameters, read with ``read_definition``.
@@ -78,14 +78,12 @@ class Vocabulary:
 
     def spellings(self, spark: SparkSession) -> DataFrame:
         """``(folded, canonical)``, one row per folded spelling."""
-        return spark.createDataFrame(list(self.lookup.items()),
-                                     "folded string, canonical string")
+        return stated_rows(spark, ("folded", "canonical"), self.lookup.items())
 
     def table(self, spark: SparkSession) -> DataFrame:
         """The canonical values and their attributes."""
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in self.columns])
-        return spark.createDataFrame(
-            [tuple(row.get(c) for c in self.columns) for row in self.rows], schema)
+        return stated_rows(spark, self.columns,
+                           (tuple(row.get(c) for c in self.columns) for row in self.rows))
 
 
 def build_vocabulary(spark: SparkSession, name: str,
@@ -131,7 +129,7 @@ def _fold_spellings(spark: SparkSession,
     # the rows are the definition's own, in its order.
     if not spelled:
         return []
-    frame = spark.createDataFrame(spelled, "spelling string, canonical string")
+    frame = stated_rows(spark, ("spelling", "canonical"), spelled)
     return [tuple(r) for r in frame.select(fold(F.col("spelling")), "canonical").collect()]
 
 
