@@ -63,7 +63,7 @@ def listing_yield(delivered: DataFrame, crawl: Sequence[str] = CRAWL,
 
 
 def tail_cutoff(listings: DataFrame, crawl: Sequence[str] = CRAWL, position: str = "ix", *,
-                guaranteed: int | Column = 0, patience: int = TAIL_PATIENCE,
+                guaranteed: int | Column = 0, patience: int | None = TAIL_PATIENCE,
                 min_new: int = TAIL_MIN_NEW, page_budget: int | None = PAGE_BUDGET,
                 ) -> DataFrame:
     """Mark which listings a crawl would walk: adds ``walked`` and ``tail_end``.
@@ -74,22 +74,25 @@ def tail_cutoff(listings: DataFrame, crawl: Sequence[str] = CRAWL, position: str
     listing that completes the streak is walked.
 
     A streak is found by counting, for each position, the barren listings among the
-    ``patience`` last ones, so it needs no sequential pass.
+    ``patience`` last ones, so it needs no sequential pass. Either rule is left out by
+    passing ``None``.
     """
     crawl = list(crawl)
     guaranteed = F.lit(guaranteed) if isinstance(guaranteed, int) else guaranteed
     listings = listings.withColumn("_tail", F.col(position) >= guaranteed)
 
-    barren = listings.where(F.col("_tail") & (F.col("new_products") < min_new))
-    streaks = (
-        barren.select(*crawl, F.explode(F.sequence(
-            F.col(position), F.col(position) + (patience - 1))).alias("_end"))
-        .groupBy(*crawl, "_end").agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") == patience)
-        .groupBy(*crawl).agg(F.min("_end").alias("_streak_end"))
-    )
-    marked = listings.join(streaks, crawl, "left")
-    walked = F.col("_streak_end").isNull() | (F.col(position) <= F.col("_streak_end"))
+    marked, walked = listings, F.lit(True)
+    if patience is not None:
+        barren = listings.where(F.col("_tail") & (F.col("new_products") < min_new))
+        streaks = (
+            barren.select(*crawl, F.explode(F.sequence(
+                F.col(position), F.col(position) + (patience - 1))).alias("_end"))
+            .groupBy(*crawl, "_end").agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") == patience)
+            .groupBy(*crawl).agg(F.min("_end").alias("_streak_end"))
+        )
+        marked = marked.join(streaks, crawl, "left")
+        walked = F.col("_streak_end").isNull() | (F.col(position) <= F.col("_streak_end"))
     if page_budget is not None:
         counted = sum_before(listings, crawl, position, F.col("pages_fetched"), "_pages")
         spent = (counted.where(F.col("_tail") & (F.col("_pages") >= page_budget))

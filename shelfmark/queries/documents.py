@@ -1 +1,330 @@
-"""Placeholder."""
+"""Nested raw documents made from the given documents, then shredded and checked.
+
+Every document becomes one crawl of a store: its lines are the pages a crawl fetched,
+the words of a line the products a page delivered, the distinct words the stored
+bodies. Some claims are wrong on purpose. Nothing is grouped: a row becomes a nested
+document by itself, and the whole text goes into it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import trace
+from ..quality import raw as checks
+from ..schemas import RAW_DOCUMENT
+from ..sources import raw
+from ..sources.raw import CORRUPT
+from .checks import union_sql
+from .registry import query, table
+
+STAMP = "2024-01-31T09:14:02Z"
+FILE_STAMP = "20240131T091402Z"
+
+
+def _every(n: int) -> Column:
+    return F.col("doc_id") % n == 0
+
+
+def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """One raw crawl document per given document, with its file name."""
+    lines = F.split("text", "\n")
+    paged = table(spark, folder, "documents").select(
+        "doc_id", "n_chars", F.transform(lines, lambda line: F.split(line, " ")).alias("page_words"))
+    paged = paged.withColumn("ids", F.flatten("page_words")).withColumn(
+        "words", F.array_distinct("ids")).withColumn("n_pages", F.size("page_words"))
+    collections = F.greatest(F.ceil((F.col("n_pages") - 3) / 5), F.lit(0)).cast("int")
+    paged = paged.withColumn("n_collections", collections)
+
+    def listing_of(page: Column) -> Column:
+        return F.when(page < 3, trace.UNFILTERED).otherwise(
+            F.concat(F.lit("c"), F.floor((page - 3) / 5).cast("string")))
+
+    responses = F.transform("page_words", lambda words, i: F.struct(
+        listing_of(i).alias("listing"), (i + 1).cast("long").alias("page"),
+        F.lit("u").alias("url"), F.size(words).cast("long").alias("count"),
+        words.alias("product_ids")))
+
+    def listing(ix: Column) -> Column:
+        # ix 0 is the unfiltered listing, which holds the first three pages.
+        low = F.when(ix == 0, 0).otherwise(ix * 5 - 2)
+        high = F.when(ix == 0, 3).otherwise(ix * 5 + 3)
+        mine = F.filter(F.sequence(F.lit(0), F.col("n_pages") - 1),
+                        lambda p: (p >= low) & (p < high))
+        return F.struct(
+            F.when(ix == 0, trace.UNFILTERED).otherwise(
+                F.concat(F.lit("c"), (ix - 1).cast("string"))).alias("label"),
+            F.size(mine).cast("long").alias("pages_fetched"),
+            F.when((ix == F.col("n_collections")) & (F.col("n_chars") % 4 == 0), "error")
+            .otherwise(trace.ENDED).alias("stopped_reason"),
+            F.transform(F.filter(mine, lambda p: F.size(F.get("page_words", p)) < 5),
+                        lambda p: p.cast("long")).alias("short_pages"),
+            F.lit(0).cast("long").alias("new_products"))
+
+    listings = F.transform(F.sequence(F.lit(0), F.col("n_collections")), listing)
+
+    def body(word: Column) -> Column:
+        length = F.length(word)
+        variant = F.struct(
+            F.concat(word, F.lit("-1")).alias("id"), F.upper(word).alias("sku"),
+            word.alias("option1"), F.lit(None).cast("string").alias("option2"),
+            F.lit(None).cast("string").alias("option3"), length.cast("string").alias("price"),
+            F.lit(None).cast("string").alias("compare_at_price"),
+            (length % 2 == 0).alias("available"))
+        return F.struct(
+            F.when(length == 1, F.concat(F.lit("x"), word)).when(length != 2, word).alias("id"),
+            F.concat(F.lit("T "), word).alias("title"),
+            F.nullif(F.lower(F.substring(word, 1, 1)), F.lit("")).alias("vendor"),
+            F.when(length > 8, "long").otherwise("short").alias("product_type"),
+            F.array(word).alias("tags"),
+            F.lit(None).cast("array<struct<name string, position int, values array<string>>>")
+            .alias("options"),
+            F.when(length > 10, F.array(variant)).when(length == 10, F.slice(F.array(variant), 1, 0))
+            .alias("variants"))
+
+    # Every seventh store lost the first body, every ninth has one no page delivered.
+    stored = F.when(_every(7), F.slice("words", 2, F.size("words"))).otherwise(F.col("words"))
+    stored = F.when(_every(9), F.array_append(stored, F.lit("#extra"))).otherwise(stored)
+    paged = paged.withColumn("stored", stored).withColumn(
+        "letters", F.array_distinct(F.array_compact(F.transform("stored", lambda w: F.nullif(
+            F.lower(F.substring(w, 1, 1)), F.lit(""))))))
+    products = F.map_from_entries(F.transform("stored", lambda w: F.struct(w, body(w))))
+    vendors = F.map_from_entries(F.transform("letters", lambda v: F.struct(v, F.size(F.filter(
+        "stored", lambda w: F.lower(F.substring(w, 1, 1)) == v)).cast("long"))))
+    site = F.concat(F.lit("store-"), F.col("doc_id").cast("string"))
+    short_pages = F.size(F.filter("page_words", lambda words: F.size(words) < 5)).cast("long")
+    return paged.select(
+        site.alias("site"), F.lit("shopify").alias("adapter"),
+        F.concat(F.lit("https://"), site).alias("base_url"),
+        F.when(~_every(11), "EUR").alias("currency"),
+        F.when(~_every(13), "IT").otherwise("").alias("country"),
+        F.lit(None).cast("string").alias("brand_override"),
+        F.when(_every(8), "yesterday").otherwise(STAMP).alias("scraped_at"),
+        F.size("ids").cast("long").alias("products_received"),
+        (F.size("stored") + F.when(_every(5), 1).otherwise(0)).cast("long")
+        .alias("products_stored"),
+        F.when(_every(6), F.map_concat(vendors, F.create_map(F.lit("zz"), F.lit(1).cast("long"))))
+        .otherwise(vendors).alias("vendors"),
+        F.when(~_every(17), F.lit(True)).alias("complete"),
+        F.col("n_pages").cast("long").alias("pages"),
+        (short_pages + F.when(_every(4), 2).otherwise(0)).alias("short_pages"),
+        F.col("n_collections").cast("long").alias("collections_crawled"),
+        listings.alias("listings"),
+        F.when(_every(10), F.array(F.struct(
+            F.lit("c0").alias("listing"), F.lit(7).cast("long").alias("page"),
+            F.lit("HTTP 500").alias("error")))).otherwise(F.array()).alias("errors"),
+        F.when(_every(3), F.col("doc_id")).otherwise(0).alias("throttled"),
+        F.lit(1.0).alias("rate_limit_start"), F.lit(0.5).alias("rate_limit_final"),
+        responses.alias("responses"), products.alias("products"),
+        F.concat(F.when(_every(19), "other").otherwise(site), F.lit(f"-{FILE_STAMP}.json"))
+        .alias("file"))
+
+
+def parsed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through JSON text and the declared schema, as files are read."""
+    documents = raw_documents(spark, folder)
+    text = F.to_json(F.struct(*(c for c in documents.columns if c != "file")))
+    return documents.select("file", F.from_json(text, RAW_DOCUMENT).alias("d")).select(
+        "file", "d.*")
+
+
+BASE = """pages AS (
+  SELECT doc_id, n_chars, i, string_split(lines[i + 1], ' ') AS words FROM (
+    SELECT doc_id, n_chars, string_split(text, chr(10)) AS lines FROM documents) d,
+    unnest(range(len(lines))) t(i)),
+sizes AS (
+  SELECT doc_id, any_value(n_chars) AS n_chars, count(*) AS n_pages,
+    greatest(ceil((count(*) - 3) / 5.0), 0)::BIGINT AS n_collections,
+    sum(len(words))::BIGINT AS received, count(*) FILTER (len(words) < 5) AS short_pages
+  FROM pages GROUP BY 1),
+delivered AS (
+  SELECT doc_id, i AS seq, p AS pos, words[p + 1] AS word,
+    CASE WHEN i < 3 THEN '*unfiltered*' ELSE 'c' || ((i - 3) // 5) END AS listing
+  FROM pages, unnest(range(len(words))) t(p)),
+firsts AS (
+  SELECT * FROM delivered QUALIFY row_number() OVER (
+    PARTITION BY doc_id, word ORDER BY seq, pos) = 1),
+stored AS (
+  SELECT doc_id, word FROM firsts WHERE NOT (doc_id % 7 = 0 AND seq = 0 AND pos = 0)
+  UNION ALL SELECT doc_id, '#extra' FROM documents WHERE doc_id % 9 = 0),
+bodies AS (
+  SELECT doc_id, word, CASE WHEN length(word) = 1 THEN 'x' || word
+      WHEN length(word) <> 2 THEN word END AS body_id,
+    nullif(lower(substr(word, 1, 1)), '') AS vendor FROM stored),
+counts AS (
+  SELECT doc_id, count(*) AS n_stored, count(*) FILTER (word <> coalesce(body_id, '?'))
+    AS n_foreign FROM bodies GROUP BY 1),
+docs AS (
+  SELECT *, 'store-' || doc_id AS site,
+    CASE WHEN doc_id % 8 = 0 THEN 'yesterday' ELSE '2024-01-31T09:14:02Z' END AS scraped_at,
+    CASE WHEN doc_id % 19 = 0 THEN 'other' ELSE 'store-' || doc_id END
+      || '-20240131T091402Z.json' AS file,
+    n_stored + CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS claimed,
+    short_pages + CASE WHEN doc_id % 4 = 0 THEN 2 ELSE 0 END AS claimed_short,
+    n_chars % 4 <> 0 AS ended
+  FROM sizes JOIN counts USING (doc_id)),
+sound AS (SELECT * FROM docs WHERE doc_id % 17 <> 0)"""
+
+
+@query(f"""
+WITH {BASE}
+SELECT site, scraped_at, coalesce(body_id, word) AS id, 'T ' || word AS title, vendor,
+  CASE WHEN length(word) > 8 THEN 'long' ELSE 'short' END AS product_type
+FROM bodies JOIN docs USING (doc_id)
+""")
+def shred_documents(spark: SparkSession, folder: str) -> DataFrame:
+    rows = raw.product_rows(parsed_documents(spark, folder))
+    return rows.select("site", "scraped_at", "id", "title", "vendor", "product_type")
+
+
+@query(f"""
+WITH {BASE}
+SELECT site, scraped_at, word AS product_id, word || '-1' AS id, upper(replace(word, 'ß', 'SS')) AS sku,
+  word AS option1, length(word)::VARCHAR AS price, length(word) % 2 = 0 AS available
+FROM bodies JOIN docs USING (doc_id) WHERE length(word) > 10
+""")
+def shred_variants(spark: SparkSession, folder: str) -> DataFrame:
+    rows = raw.variant_rows(parsed_documents(spark, folder))
+    return rows.select("site", "scraped_at", "product_id", "id", "sku", "option1", "price",
+                       "available")
+
+
+@query(f"""
+WITH {BASE}, tally AS (SELECT doc_id, vendor, count(*) AS products FROM bodies
+                       WHERE vendor IS NOT NULL GROUP BY ALL)
+SELECT site, received AS products_received, claimed AS products_stored, n_pages AS pages,
+  n_collections AS collections_crawled, vendor, products
+FROM docs JOIN (SELECT * FROM tally UNION ALL
+                SELECT doc_id, 'zz', 1 FROM documents WHERE doc_id % 6 = 0) USING (doc_id)
+""")
+def crawl_records(spark: SparkSession, folder: str) -> DataFrame:
+    records = raw.crawl_records(parsed_documents(spark, folder))
+    return records.select("site", "products_received", "products_stored", "pages",
+                          "collections_crawled", F.inline("vendors"))
+
+
+@query(f"""
+WITH {BASE}
+SELECT site, count(*) AS products, count(*) FILTER (length(word) > 10) AS variants
+FROM bodies JOIN docs USING (doc_id) GROUP BY ROLLUP (site)
+""")
+def shred_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return raw.shred_counts(raw.shred(raw_documents(spark, folder)))
+
+
+@query(f"""
+WITH {BASE}
+SELECT site, word AS product_id, listing, seq::INTEGER AS seq, pos::INTEGER AS pos
+FROM firsts JOIN docs USING (doc_id)
+""")
+def page_first_delivery(spark: SparkSession, folder: str) -> DataFrame:
+    delivered = trace.deliveries(raw.responses(raw_documents(spark, folder)))
+    return trace.first_deliveries(delivered).select("site", "product_id", "listing", "seq", "pos")
+
+
+@query(f"""
+WITH {BASE}
+SELECT site, scraped_at, received AS products_received, n_stored AS products_stored,
+  n_pages AS pages, short_pages, n_collections AS collections_crawled, ended AS complete
+FROM docs
+""")
+def crawl_counters(spark: SparkSession, folder: str) -> DataFrame:
+    documents = raw_documents(spark, folder)
+    return trace.crawl_counters(raw.responses(documents), raw.listings(documents),
+                                raw.bodies(documents))
+
+
+@query(f"""
+WITH {BASE}
+SELECT site, ended AS complete FROM docs
+""")
+def complete_flag(spark: SparkSession, folder: str) -> DataFrame:
+    return raw_documents(spark, folder).select("site", F.forall(
+        "listings", lambda item: item["stopped_reason"] == trace.ENDED).alias("complete"))
+
+
+@query(f"""
+WITH {BASE}
+SELECT site, 'error' AS stopped_reason, 1::BIGINT AS listings FROM docs WHERE NOT ended
+""")
+def stop_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    return trace.stop_reasons(raw.listings(raw_documents(spark, folder)), ["site"])
+
+
+def _found_sql(level: str, check: str, rule: str, n: str = "1",
+               sample: str = "NULL", rows: str = "sound") -> str:
+    return (f"SELECT '{level}' AS level, file AS \"where\", '{check}' AS \"check\", "
+            f"({n})::BIGINT AS n, cast({sample} AS VARCHAR) AS sample FROM {rows} WHERE {rule}")
+
+
+@query(f"WITH {BASE} " + union_sql(
+    _found_sql("ERROR", "products_stored differs from what is held", "claimed <> n_stored",
+               sample="claimed || ' holds ' || n_stored"),
+    _found_sql("ERROR", "short_pages differs from what is held", "claimed_short <> short_pages",
+               sample="claimed_short || ' holds ' || short_pages"),
+    _found_sql("ERROR", "id on a page without a body", "doc_id % 7 = 0"),
+    _found_sql("ERROR", "body on no page", "doc_id % 9 = 0"),
+    _found_sql("ERROR", "body keyed by a foreign id", "n_foreign > 0", "n_foreign"),
+    _found_sql("ERROR", "complete contradicts the listings", "NOT ended"),
+    _found_sql("ERROR", "site is not the one in the file name", "doc_id % 19 = 0", sample="site"),
+    _found_sql("ERROR", "scraped_at is not a UTC stamp", "doc_id % 8 = 0", sample="scraped_at")))
+def trace_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Every claim of a document recomputed, bodies against pages both ways."""
+    documents = raw_documents(spark, folder)
+    return checks.self_checks(documents.where(checks.is_sound()))
+
+
+@query(f"WITH {BASE} " + _found_sql("ERROR", "vendors differ from the bodies", "doc_id % 6 = 0",
+                                    sample="'zz'", rows="docs"))
+def vendor_check(spark: SparkSession, folder: str) -> DataFrame:
+    return checks.vendor_check(raw_documents(spark, folder))
+
+
+@query(f"WITH {BASE} " + union_sql(
+    _found_sql("WARN", "listing cut off", "NOT ended", sample="'error'", rows="docs"),
+    _found_sql("WARN", "failed request", "doc_id % 10 = 0", sample="'HTTP 500'", rows="docs"),
+    _found_sql("WARN", "throttled", "doc_id % 3 = 0 AND doc_id > 0", "doc_id", rows="docs"),
+    _found_sql("WARN", "page under 250 items beyond the closing ones",
+               "claimed_short > n_collections + ended::INTEGER",
+               "claimed_short - (n_collections + ended::INTEGER)", rows="docs"),
+    _found_sql("WARN", "no currency", "doc_id % 11 = 0", rows="docs"),
+    _found_sql("WARN", "no country", "doc_id % 13 = 0", rows="docs")))
+def thinness_check(spark: SparkSession, folder: str) -> DataFrame:
+    return checks.thinness_checks(raw_documents(spark, folder))
+
+
+@query(f"WITH {BASE} " + _found_sql("ERROR", "complete is missing", "doc_id % 17 = 0",
+                                    rows="docs"))
+def raw_structure_check(spark: SparkSession, folder: str) -> DataFrame:
+    documents = raw_documents(spark, folder).withColumn(CORRUPT, F.lit(None).cast("string"))
+    return checks.structure_checks(documents)
+
+
+@query(f"""
+WITH {BASE}
+SELECT 'WARN' AS level, 'coverage' AS "where", 'crawl of no enabled site' AS "check",
+  count(*)::BIGINT AS n, min(s) AS sample
+FROM (SELECT DISTINCT CASE WHEN doc_id % 19 = 0 THEN 'other' ELSE site END AS s FROM docs)
+WHERE s NOT IN (SELECT 'store-' || doc_id FROM labels) HAVING count(*) > 0
+UNION ALL
+SELECT 'WARN', 'coverage', 'enabled site never crawled', count(*), min(s)
+FROM (SELECT 'store-' || doc_id AS s FROM labels
+      WHERE doc_id % 19 = 0 OR doc_id NOT IN (SELECT doc_id FROM docs)) HAVING count(*) > 0
+""")
+def raw_site_check(spark: SparkSession, folder: str) -> DataFrame:
+    sites = table(spark, folder, "labels").select(
+        F.concat(F.lit("store-"), F.col("doc_id").cast("string")).alias("site"))
+    return checks.site_checks(raw_documents(spark, folder), sites)
+
+
+@query("""
+SELECT 'ERROR' AS level, 'crawl' AS "where", 'more than one crawl stamp' AS "check",
+  count(*)::BIGINT AS n, min(s) AS sample
+FROM (SELECT DISTINCT strftime(ts, '%Y%m%dT%H%M%SZ') AS s FROM events) HAVING count(*) > 1
+""")
+def raw_stamp_check(spark: SparkSession, folder: str) -> DataFrame:
+    files = table(spark, folder, "events").select(F.concat(
+        F.col("event_type"), F.lit("-"), F.date_format("ts", "yyyyMMdd'T'HHmmss'Z'"),
+        F.lit(".json")).alias("file"))
+    return checks.stamp_check(files)

@@ -8,6 +8,8 @@ shape of shredded documents, so the library's own table builders run on them.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,7 @@ CATEGORIES = {
 }
 
 
+@lru_cache(maxsize=1)
 def vocabularies(spark: SparkSession) -> dict[str, voc.Vocabulary]:
     return voc.load_vocabularies(spark, {"brands": BRANDS}, {"categories": CATEGORIES})
 
