@@ -48,10 +48,8 @@ def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
 
     def listing(ix: Column) -> Column:
         # ix 0 is the unfiltered listing, which holds the first three pages.
-        low = F.when(ix == 0, 0).otherwise(ix * 5 - 2)
-        high = F.when(ix == 0, 3).otherwise(ix * 5 + 3)
-        mine = F.filter(F.sequence(F.lit(0), F.col("n_pages") - 1),
-                        lambda p: (p >= low) & (p < high))
+        low, high = F.when(ix == 0, 0).otherwise(ix * 5 - 2), ix * 5 + 3
+        mine = F.sequence(low, F.least(high, F.col("n_pages")) - 1)
         return F.struct(
             F.when(ix == 0, trace.UNFILTERED).otherwise(
                 F.concat(F.lit("c"), (ix - 1).cast("string"))).alias("label"),
@@ -86,12 +84,15 @@ def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
     # Every seventh store lost the first body, every ninth has one no page delivered.
     stored = F.when(_every(7), F.slice("words", 2, F.size("words"))).otherwise(F.col("words"))
     stored = F.when(_every(9), F.array_append(stored, F.lit("#extra"))).otherwise(stored)
-    paged = paged.withColumn("stored", stored).withColumn(
-        "letters", F.array_distinct(F.array_compact(F.transform("stored", lambda w: F.nullif(
-            F.lower(F.substring(w, 1, 1)), F.lit(""))))))
+    initials = F.array_sort(F.array_compact(F.transform("stored", lambda w: F.nullif(
+        F.lower(F.substring(w, 1, 1)), F.lit("")))))
+    paged = paged.withColumn("stored", stored).withColumn("initials", initials).withColumn(
+        "letters", F.array_distinct("initials"))
     products = F.map_from_entries(F.transform("stored", lambda w: F.struct(w, body(w))))
-    vendors = F.map_from_entries(F.transform("letters", lambda v: F.struct(v, F.size(F.filter(
-        "stored", lambda w: F.lower(F.substring(w, 1, 1)) == v)).cast("long"))))
+    # Counted from where each letter starts in the sorted initials.
+    vendors = F.map_from_entries(F.transform("letters", lambda v, i: F.struct(
+        v, F.coalesce(F.array_position("initials", F.get("letters", i + 1)),
+                      F.size("initials") + 1) - F.array_position("initials", v))))
     site = F.concat(F.lit("store-"), F.col("doc_id").cast("string"))
     short_pages = F.size(F.filter("page_words", lambda words: F.size(words) < 5)).cast("long")
     return paged.select(
@@ -117,7 +118,7 @@ def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
         F.when(_every(3), F.col("doc_id")).otherwise(0).alias("throttled"),
         F.lit(1.0).alias("rate_limit_start"), F.lit(0.5).alias("rate_limit_final"),
         responses.alias("responses"), products.alias("products"),
-        F.concat(F.when(_every(19), "other").otherwise(site), F.lit(f"-{FILE_STAMP}.json"))
+        F.concat(F.when(_every(19), F.concat(F.lit("other-"), F.col("doc_id").cast("string"))).otherwise(site), F.lit(f"-{FILE_STAMP}.json"))
         .alias("file"))
 
 
@@ -125,8 +126,9 @@ def parsed_documents(spark: SparkSession, folder: str) -> DataFrame:
     """The same through JSON text and the declared schema, as files are read."""
     documents = raw_documents(spark, folder)
     text = F.to_json(F.struct(*(c for c in documents.columns if c != "file")))
-    return documents.select("file", F.from_json(text, RAW_DOCUMENT).alias("d")).select(
-        "file", "d.*")
+    # A generator is evaluated once per row. A plain projection would be inlined into
+    # what follows and parse the text again for every row exploded out of it.
+    return documents.select("file", F.inline(F.array(F.from_json(text, RAW_DOCUMENT))))
 
 
 BASE = """pages AS (
@@ -158,7 +160,7 @@ counts AS (
 docs AS (
   SELECT *, 'store-' || doc_id AS site,
     CASE WHEN doc_id % 8 = 0 THEN 'yesterday' ELSE '2024-01-31T09:14:02Z' END AS scraped_at,
-    CASE WHEN doc_id % 19 = 0 THEN 'other' ELSE 'store-' || doc_id END
+    CASE WHEN doc_id % 19 = 0 THEN 'other-' ELSE 'store-' END || doc_id
       || '-20240131T091402Z.json' AS file,
     n_stored + CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS claimed,
     short_pages + CASE WHEN doc_id % 4 = 0 THEN 2 ELSE 0 END AS claimed_short,
@@ -305,7 +307,7 @@ def raw_structure_check(spark: SparkSession, folder: str) -> DataFrame:
 WITH {BASE}
 SELECT 'WARN' AS level, 'coverage' AS "where", 'crawl of no enabled site' AS "check",
   count(*)::BIGINT AS n, min(s) AS sample
-FROM (SELECT DISTINCT CASE WHEN doc_id % 19 = 0 THEN 'other' ELSE site END AS s FROM docs)
+FROM (SELECT DISTINCT CASE WHEN doc_id % 19 = 0 THEN 'other-' || doc_id ELSE site END AS s FROM docs)
 WHERE s NOT IN (SELECT 'store-' || doc_id FROM labels) HAVING count(*) > 0
 UNION ALL
 SELECT 'WARN', 'coverage', 'enabled site never crawled', count(*), min(s)
