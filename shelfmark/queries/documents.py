@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import trace
 from ..quality import raw as checks
+from ..quality.findings import evaluated_once
 from ..schemas import RAW_DOCUMENT
 from ..sources import raw
 from ..sources.raw import CORRUPT
@@ -27,8 +28,11 @@ def _every(n: int) -> Column:
     return F.col("doc_id") % n == 0
 
 
-def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """One raw crawl document per given document, with its file name."""
+def raw_documents(spark: SparkSession, folder: str, *wanted: str) -> DataFrame:
+    """One raw crawl document per given document, with its file name.
+
+    ``wanted`` limits the fields that are built.
+    """
     lines = F.split("text", "\n")
     paged = table(spark, folder, "documents").select(
         "doc_id", "n_chars", F.transform(lines, lambda line: F.split(line, " ")).alias("page_words"))
@@ -95,40 +99,41 @@ def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
                       F.size("initials") + 1) - F.array_position("initials", v))))
     site = F.concat(F.lit("store-"), F.col("doc_id").cast("string"))
     short_pages = F.size(F.filter("page_words", lambda words: F.size(words) < 5)).cast("long")
-    return paged.select(
-        site.alias("site"), F.lit("shopify").alias("adapter"),
-        F.concat(F.lit("https://"), site).alias("base_url"),
-        F.when(~_every(11), "EUR").alias("currency"),
-        F.when(~_every(13), "IT").otherwise("").alias("country"),
-        F.lit(None).cast("string").alias("brand_override"),
-        F.when(_every(8), "yesterday").otherwise(STAMP).alias("scraped_at"),
-        F.size("ids").cast("long").alias("products_received"),
-        (F.size("stored") + F.when(_every(5), 1).otherwise(0)).cast("long")
-        .alias("products_stored"),
-        F.when(_every(6), F.map_concat(vendors, F.create_map(F.lit("zz"), F.lit(1).cast("long"))))
-        .otherwise(vendors).alias("vendors"),
-        F.when(~_every(17), F.lit(True)).alias("complete"),
-        F.col("n_pages").cast("long").alias("pages"),
-        (short_pages + F.when(_every(4), 2).otherwise(0)).alias("short_pages"),
-        F.col("n_collections").cast("long").alias("collections_crawled"),
-        listings.alias("listings"),
-        F.when(_every(10), F.array(F.struct(
+    fields = {
+        "site": site, "adapter": F.lit("shopify"), "base_url": F.concat(F.lit("https://"), site),
+        "currency": F.when(~_every(11), "EUR"),
+        "country": F.when(~_every(13), "IT").otherwise(""),
+        "brand_override": F.lit(None).cast("string"),
+        "scraped_at": F.when(_every(8), "yesterday").otherwise(STAMP),
+        "products_received": F.size("ids").cast("long"),
+        "products_stored": (F.size("stored") + F.when(_every(5), 1).otherwise(0)).cast("long"),
+        "vendors": F.when(_every(6), F.map_concat(
+            vendors, F.create_map(F.lit("zz"), F.lit(1).cast("long")))).otherwise(vendors),
+        "complete": F.when(~_every(17), F.lit(True)),
+        "pages": F.col("n_pages").cast("long"),
+        "short_pages": short_pages + F.when(_every(4), 2).otherwise(0),
+        "collections_crawled": F.col("n_collections").cast("long"),
+        "listings": listings,
+        "errors": F.when(_every(10), F.array(F.struct(
             F.lit("c0").alias("listing"), F.lit(7).cast("long").alias("page"),
-            F.lit("HTTP 500").alias("error")))).otherwise(F.array()).alias("errors"),
-        F.when(_every(3), F.col("doc_id")).otherwise(0).alias("throttled"),
-        F.lit(1.0).alias("rate_limit_start"), F.lit(0.5).alias("rate_limit_final"),
-        responses.alias("responses"), products.alias("products"),
-        F.concat(F.when(_every(19), F.concat(F.lit("other-"), F.col("doc_id").cast("string"))).otherwise(site), F.lit(f"-{FILE_STAMP}.json"))
-        .alias("file"))
+            F.lit("HTTP 500").alias("error")))).otherwise(F.array()),
+        "throttled": F.when(_every(3), F.col("doc_id")).otherwise(0),
+        "rate_limit_start": F.lit(1.0), "rate_limit_final": F.lit(0.5),
+        "responses": responses, "products": products,
+        "file": F.concat(
+            F.when(_every(19), F.concat(F.lit("other-"), F.col("doc_id").cast("string")))
+            .otherwise(site), F.lit(f"-{FILE_STAMP}.json")),
+    }
+    return evaluated_once(paged, *(
+        column.alias(name) for name, column in fields.items() if not wanted or name in wanted))
 
 
 def parsed_documents(spark: SparkSession, folder: str) -> DataFrame:
     """The same through JSON text and the declared schema, as files are read."""
     documents = raw_documents(spark, folder)
     text = F.to_json(F.struct(*(c for c in documents.columns if c != "file")))
-    # A generator is evaluated once per row. A plain projection would be inlined into
-    # what follows and parse the text again for every row exploded out of it.
-    return documents.select("file", F.inline(F.array(F.from_json(text, RAW_DOCUMENT))))
+    parsed = F.from_json(text, RAW_DOCUMENT).alias("d")
+    return evaluated_once(documents, "file", parsed).select("file", "d.*")
 
 
 BASE = """pages AS (
@@ -221,7 +226,8 @@ SELECT site, word AS product_id, listing, seq::INTEGER AS seq, pos::INTEGER AS p
 FROM firsts JOIN docs USING (doc_id)
 """)
 def page_first_delivery(spark: SparkSession, folder: str) -> DataFrame:
-    delivered = trace.deliveries(raw.responses(raw_documents(spark, folder)))
+    delivered = trace.deliveries(raw.responses(raw_documents(
+        spark, folder, "site", "scraped_at", "responses")))
     return trace.first_deliveries(delivered).select("site", "product_id", "listing", "seq", "pos")
 
 
@@ -232,9 +238,11 @@ SELECT site, scraped_at, received AS products_received, n_stored AS products_sto
 FROM docs
 """)
 def crawl_counters(spark: SparkSession, folder: str) -> DataFrame:
-    documents = raw_documents(spark, folder)
-    return trace.crawl_counters(raw.responses(documents), raw.listings(documents),
-                                raw.bodies(documents))
+    def only(field: str) -> DataFrame:
+        return raw_documents(spark, folder, "site", "scraped_at", field)
+
+    return trace.crawl_counters(raw.responses(only("responses")),
+                                raw.listings(only("listings")), raw.bodies(only("products")))
 
 
 @query(f"""
@@ -242,7 +250,7 @@ WITH {BASE}
 SELECT site, ended AS complete FROM docs
 """)
 def complete_flag(spark: SparkSession, folder: str) -> DataFrame:
-    return raw_documents(spark, folder).select("site", F.forall(
+    return raw_documents(spark, folder, "site", "listings").select("site", F.forall(
         "listings", lambda item: item["stopped_reason"] == trace.ENDED).alias("complete"))
 
 
@@ -251,7 +259,8 @@ WITH {BASE}
 SELECT site, 'error' AS stopped_reason, 1::BIGINT AS listings FROM docs WHERE NOT ended
 """)
 def stop_reasons(spark: SparkSession, folder: str) -> DataFrame:
-    return trace.stop_reasons(raw.listings(raw_documents(spark, folder)), ["site"])
+    return trace.stop_reasons(raw.listings(raw_documents(
+        spark, folder, "site", "scraped_at", "listings")), ["site"])
 
 
 def _found_sql(level: str, check: str, rule: str, n: str = "1",
@@ -280,7 +289,7 @@ def trace_check(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"WITH {BASE} " + _found_sql("ERROR", "vendors differ from the bodies", "doc_id % 6 = 0",
                                     sample="'zz'", rows="docs"))
 def vendor_check(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.vendor_check(raw_documents(spark, folder))
+    return checks.vendor_check(raw_documents(spark, folder, "file", "vendors", "products"))
 
 
 @query(f"WITH {BASE} " + union_sql(
@@ -317,7 +326,7 @@ FROM (SELECT 'store-' || doc_id AS s FROM labels
 def raw_site_check(spark: SparkSession, folder: str) -> DataFrame:
     sites = table(spark, folder, "labels").select(
         F.concat(F.lit("store-"), F.col("doc_id").cast("string")).alias("site"))
-    return checks.site_checks(raw_documents(spark, folder), sites)
+    return checks.site_checks(raw_documents(spark, folder, "file"), sites)
 
 
 @query("""
