@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import fold
+from .text import fold_elements
 
 # A literal map is searched linearly for every element, so a larger vocabulary
 # has to go through ``operators.lookup.resolve_arrays``, which joins.
@@ -42,12 +42,14 @@ def one_of(values: Column, mapping: Mapping[str, str], several: str, *,
     if not mapping:
         return F.lit(None).cast("string")
     table = literal_map(mapping)
+    if strip_prefix:
+        values = map_elements(values, lambda v: F.regexp_replace(v, r"^[^:]*:", ""))
+    # The spellings that occur, each once, are picked out before anything is mapped.
+    spelled = F.array_intersect(F.array(*map(F.lit, mapping)), fold_elements(values))
+    found = F.array_distinct(F.transform(spelled, lambda v: F.try_element_at(table, v)))
+    return bound(found, lambda f: F.when(F.size(f) > 1, F.lit(several)).otherwise(F.get(f, 0)))
 
-    def canonical(value: Column) -> Column:
-        if strip_prefix:
-            value = F.regexp_replace(value, r"^[^:]*:", "")
-        return F.try_element_at(table, fold(value))
 
-    found = F.array_distinct(F.array_compact(map_elements(values, canonical)))
-    return F.when(F.size(found) > 1, F.lit(several)).otherwise(
-        F.try_element_at(found, F.lit(1)))
+def bound(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a costly value that it refers to more than once, evaluated once."""
+    return F.get(F.transform(F.array(value), fn), 0)

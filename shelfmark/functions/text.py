@@ -11,6 +11,8 @@ MULTI_LETTER = {"ø": "o", "æ": "ae", "œ": "oe", "ß": "ss", "đ": "d", "ł":
 ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüýñçšž"
 PLAIN = "aaaaaaeeeeiiiiooooouuuuyncsz"
 
+SEPARATOR = "\x01"
+
 
 def clean_text(text: Column) -> Column:
     """Collapse whitespace runs to one space and trim; blank becomes null."""
@@ -22,14 +24,24 @@ def upper_name(text: Column) -> Column:
     return F.upper(clean_text(text))
 
 
-def fold(text: Column) -> Column:
+def fold(text: Column, *, keep: str = "") -> Column:
     """The form two spellings of one name share: plain lower-case letters and digits.
 
     This is the only folding there is. Vocabularies are folded with it as well
     (see ``Vocabulary``), so a spelling and the data it should match cannot be
-    folded by two different rules.
+    folded by two different rules. Characters in ``keep`` stay.
     """
     folded = F.lower(text)
     for letter, plain in MULTI_LETTER.items():
         folded = F.replace(folded, F.lit(letter), F.lit(plain))
-    return F.regexp_replace(F.translate(folded, ACCENTED, PLAIN), "[^a-z0-9]+", "")
+    return F.regexp_replace(F.translate(folded, ACCENTED, PLAIN), f"[^a-z0-9{keep}]+", "")
+
+
+def fold_elements(values: Column) -> Column:
+    """``fold`` of every element that is not null.
+
+    The elements are folded as one string and split again, so the string functions run
+    once per array and not once per element.
+    """
+    cleared = F.transform(values, lambda v: F.replace(v, F.lit(SEPARATOR), F.lit("")))
+    return F.split(fold(F.array_join(cleared, SEPARATOR), keep=SEPARATOR), SEPARATOR)

@@ -18,7 +18,7 @@ from ..schemas import RAW_DOCUMENT
 from ..sources import raw
 from ..sources.raw import CORRUPT
 from .checks import union_sql
-from .registry import query, table
+from .registry import query, spread_table, table
 
 STAMP = "2024-01-31T09:14:02Z"
 FILE_STAMP = "20240131T091402Z"
@@ -34,7 +34,7 @@ def raw_documents(spark: SparkSession, folder: str, *wanted: str) -> DataFrame:
     ``wanted`` limits the fields that are built.
     """
     lines = F.split("text", "\n")
-    paged = table(spark, folder, "documents").select(
+    paged = spread_table(spark, folder, "documents", "doc_id").select(
         "doc_id", "n_chars", F.transform(lines, lambda line: F.split(line, " ")).alias("page_words"))
     paged = paged.withColumn("ids", F.flatten("page_words")).withColumn(
         "words", F.array_distinct("ids")).withColumn("n_pages", F.size("page_words"))

@@ -242,10 +242,10 @@ facts AS (
 
 def facts(spark: SparkSession, folder: str) -> DataFrame:
     dims = _dimensions(spark, folder)
-    observed = _observed(spark, folder, dims,
-                         conform.products(processed.described(spark, folder)))
+    described = cut_lineage(processed.described(spark, folder))  # read twice, as a table is
+    observed = _observed(spark, folder, dims, conform.products(described))
     snapshot = star.new_products(_empty(spark, "dim_product"), observed)
-    rows = star.fact_rows(processed.variants(spark, folder), snapshot, dims["dim_retailer"],
+    rows = star.fact_rows(processed.variants(spark, folder, described), snapshot, dims["dim_retailer"],
                           dims["dim_date"], dims["dim_currency"])
     return star.new_facts(_empty(spark, "fact_product_observation"), rows)
 

@@ -98,11 +98,12 @@ def described(spark: SparkSession, folder: str) -> DataFrame:
         known["genders"])
 
 
-def variants(spark: SparkSession, folder: str) -> DataFrame:
+def variants(spark: SparkSession, folder: str, products: DataFrame | None = None) -> DataFrame:
     currencies = conform.crawl_currencies(
         retail.staged_crawls(spark, folder), retail.vocabularies(spark)["currencies"])
-    return conform.variants(retail.staged_variants(spark, folder), described(spark, folder),
-                            currencies)
+    if products is None:
+        products = described(spark, folder)
+    return conform.variants(retail.staged_variants(spark, folder), products, currencies)
 
 
 @query(f"WITH {retail.STAGED_SQL} SELECT * EXCLUDE (size_slot, color_slot) FROM products")

@@ -33,3 +33,16 @@ def query(sql: str | None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, folder: str, name: str, *keys: str) -> DataFrame:
+    """A table to compute much on, spread over the executors if its scan is not.
+
+    A small file comes as one row group and so as one task. Only then are its rows
+    redistributed; a table of more splits than cores is read as it lies.
+    """
+    frame = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    if frame.rdd.getNumPartitions() >= cores:
+        return frame
+    return frame.repartition(cores, *keys)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import vocabularies as voc
 from ..sources.raw import Shredded
-from .registry import table
+from .registry import spread_table, table
 from .text import fold_sql, part_options
 
 BRAND_NUMBERS = range(1, 16)
@@ -104,7 +104,7 @@ def staged_variants(spark: SparkSession, folder: str) -> DataFrame:
     compare_at = (F.when(kind == 0, (price * 20).cast("decimal(12,2)").cast("string"))
                   .when(kind == 1, (price + 250).cast("decimal(12,2)").cast("string"))
                   .when(kind == 2, (price * 21).cast("decimal(12,2)").cast("string")))
-    return table(spark, folder, "lineitem").select(
+    return spread_table(spark, folder, "lineitem", "l_orderkey", "l_linenumber").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"),
         F.when(F.col("l_linenumber") == 3, "  ").otherwise(
             F.concat_ws("  ", "l_returnflag", "l_orderkey")).alias("sku"),

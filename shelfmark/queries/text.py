@@ -11,7 +11,7 @@ from ..functions import (
     option_position, positive, retailer_of_file, sale_reference_price, slot_value,
     stamp_of_file, upper_name,
 )
-from .registry import query, table
+from .registry import query, spread_table, table
 
 # What the functions do, in the oracle's SQL.
 CLEAN = r"nullif(trim(regexp_replace({0}, '[ \t\n\x0B\f\r]+', ' ', 'g'), ' '), '')"
@@ -39,7 +39,7 @@ SELECT doc_id, {clean_sql('text')} AS cleaned, {name_sql('text')} AS named FROM
 """)
 def clean_text_documents(spark: SparkSession, folder: str) -> DataFrame:
     text = F.col("text")
-    return table(spark, folder, "documents").select(
+    return spread_table(spark, folder, "documents", "doc_id").select(
         "doc_id", clean_text(text).alias("cleaned"), upper_name(text).alias("named"))
 
 
@@ -48,7 +48,7 @@ SELECT 'document' AS kind, doc_id AS id, {fold_sql('text')} AS folded FROM docum
 UNION ALL SELECT 'brand', p_partkey, {fold_sql('p_brand')} FROM part
 """)
 def fold_names(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents").select(
+    documents = spread_table(spark, folder, "documents", "doc_id").select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("id"),
         fold(F.col("text")).alias("folded"))
     brands = table(spark, folder, "part").select(
@@ -77,7 +77,7 @@ FROM documents d LEFT JOIN found USING (doc_id)
 """)
 def resolve_one_of(spark: SparkSession, folder: str) -> DataFrame:
     words = merge_arrays(F.split("text", " "), F.split("lang", " "))
-    return table(spark, folder, "documents").select(
+    return spread_table(spark, folder, "documents", "doc_id").select(
         "doc_id", one_of(words, WORD_LANGUAGE, "SEVERAL").alias("language"))
 
 
