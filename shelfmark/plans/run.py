@@ -29,7 +29,8 @@ class RunReport:
 def shred_run(spark: SparkSession, raw_path: str, shredded_path: str) -> raw.Shredded:
     """Parse every document once and keep its flat rows."""
     raw.require_documents(spark, raw_path)
-    raw.write_shredded(raw.shred(raw.read_documents(spark, raw_path)), shredded_path)
+    shredded = raw.shred(raw.read_documents(spark, raw_path), raw.read_bodies(spark, raw_path))
+    raw.write_shredded(shredded, shredded_path)
     return raw.read_shredded(spark, shredded_path)
 
 

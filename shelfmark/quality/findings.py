@@ -31,16 +31,6 @@ def finding(level: str, where: str | Column, check: str | Column, n: Column,
         (F.lit(None) if sample is None else sample).cast("string").alias("sample"))
 
 
-def evaluated_once(frame: DataFrame, *columns: Column | str) -> DataFrame:
-    """``select`` whose expressions are evaluated exactly once per row.
-
-    The optimizer may inline a plain projection into all that uses it, a filter or an
-    exploded row included, and evaluate it anew each time. The output of a generator is
-    never inlined.
-    """
-    return frame.select(F.inline(F.array(F.struct(*columns))))
-
-
 def raised(frame: DataFrame, candidates: Sequence[Column]) -> DataFrame:
     """The candidates of every row of ``frame`` that count."""
     return (frame.select(F.explode(F.array(*candidates)).alias("_f")).select("_f.*")

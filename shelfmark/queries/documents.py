@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import trace
+from ..operators.expressions import evaluated_once
 from ..quality import raw as checks
-from ..quality.findings import evaluated_once
 from ..schemas import RAW_DOCUMENT
 from ..sources import raw
 from ..sources.raw import CORRUPT
@@ -181,7 +181,7 @@ SELECT site, scraped_at, coalesce(body_id, word) AS id, 'T ' || word AS title, v
 FROM bodies JOIN docs USING (doc_id)
 """)
 def shred_documents(spark: SparkSession, folder: str) -> DataFrame:
-    rows = raw.product_rows(parsed_documents(spark, folder))
+    rows = raw.product_rows(raw.document_bodies(parsed_documents(spark, folder)))
     return rows.select("site", "scraped_at", "id", "title", "vendor", "product_type")
 
 
@@ -192,7 +192,7 @@ SELECT site, scraped_at, word AS product_id, word || '-1' AS id, upper(replace(w
 FROM bodies JOIN docs USING (doc_id) WHERE length(word) > 10
 """)
 def shred_variants(spark: SparkSession, folder: str) -> DataFrame:
-    rows = raw.variant_rows(parsed_documents(spark, folder))
+    rows = raw.variant_rows(raw.document_bodies(parsed_documents(spark, folder)))
     return rows.select("site", "scraped_at", "product_id", "id", "sku", "option1", "price",
                        "available")
 
@@ -242,7 +242,8 @@ def crawl_counters(spark: SparkSession, folder: str) -> DataFrame:
         return raw_documents(spark, folder, "site", "scraped_at", field)
 
     return trace.crawl_counters(raw.responses(only("responses")),
-                                raw.listings(only("listings")), raw.bodies(only("products")))
+                                raw.listings(only("listings")), raw.stored_products(
+                                    raw.document_bodies(only("products"))))
 
 
 @query(f"""
