@@ -100,7 +100,7 @@ def raw_documents(spark: SparkSession, folder: str, *wanted: str) -> DataFrame:
     site = F.concat(F.lit("store-"), F.col("doc_id").cast("string"))
     short_pages = F.size(F.filter("page_words", lambda words: F.size(words) < 5)).cast("long")
     fields = {
-        "site": site, "adapter": F.lit("shopify"), "base_url": F.concat(F.lit("https://"), site),
+        "site": site, "adapter": F.lit("feed"), "base_url": F.concat(F.lit("https://"), site),
         "currency": F.when(~_every(11), "EUR"),
         "country": F.when(~_every(13), "IT").otherwise(""),
         "brand_override": F.lit(None).cast("string"),

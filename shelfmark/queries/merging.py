@@ -53,8 +53,8 @@ run AS (SELECT o_orderkey, date, o_orderstatus, cast(total + 1 AS DECIMAL(12,2))
 SELECT * FROM held UNION ALL
 SELECT * FROM run r WHERE NOT EXISTS (
   SELECT 1 FROM held h WHERE h.o_orderkey = r.o_orderkey AND h.date = r.date)
-""")
-def merge_insert_only_orders(spark: SparkSession, folder: str) -> DataFrame:
+""", name="merge_insert_only")
+def merge_orders(spark: SparkSession, folder: str) -> DataFrame:
     """A year both runs saw: the first write stays."""
     orders = _orders(spark, folder)
     held = orders.where("date < date'1999-01-01'")
@@ -84,8 +84,8 @@ SELECT coalesce(r.p_partkey, h.p_partkey) AS p_partkey,
   CASE WHEN r.p_partkey IS NOT NULL THEN r.name ELSE h.name END AS name,
   CASE WHEN r.p_partkey IS NOT NULL THEN r.price ELSE h.price END AS price, h.origin
 FROM held h FULL JOIN run r ON r.p_partkey = h.p_partkey
-""")
-def merge_upsert_parts(spark: SparkSession, folder: str) -> DataFrame:
+""", name="merge_upsert")
+def merge_parts(spark: SparkSession, folder: str) -> DataFrame:
     parts = table(spark, folder, "part")
     price = F.col("p_retailprice").cast("decimal(12,2)")
     held = parts.where("p_type <> 'PROMO'").select(

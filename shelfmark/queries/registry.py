@@ -19,13 +19,14 @@ class Registered:
 REGISTERED: dict[str, Registered] = {}
 
 
-def query(sql: str | None) -> Callable[[Query], Query]:
-    """Register a function under its name, with its SQL where there is any."""
+def query(sql: str | None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its name or ``name``, with its SQL where there is any."""
 
     def register(function: Query) -> Query:
-        if function.__name__ in REGISTERED:
-            raise ValueError(f"{function.__name__} is registered twice")
-        REGISTERED[function.__name__] = Registered(function, sql)
+        key = name or function.__name__
+        if key in REGISTERED:
+            raise ValueError(f"{key} is registered twice")
+        REGISTERED[key] = Registered(function, sql)
         return function
 
     return register

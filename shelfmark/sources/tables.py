@@ -30,15 +30,28 @@ class TableMissing(LookupError):
 
 @dataclass
 class TableStore:
+    """The tables under ``root`` as of when it was opened or last refreshed.
+
+    A run so reads one state throughout, whatever is committed meanwhile. Beginning
+    and committing a load refresh it.
+    """
+
     spark: SparkSession
     root: str
+    _seen: list | None = field(default=None, repr=False, compare=False)
+
+    def refresh(self) -> None:
+        self._seen = None
 
     def _commits(self) -> list:
-        try:
-            frame = self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
-            return sorted(frame.collect(), key=lambda r: r["load"])
-        except AnalysisException:
-            return []
+        # A few short rows per load: names, modes and schemas.
+        if self._seen is None:
+            try:
+                frame = self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
+                self._seen = sorted(frame.collect(), key=lambda r: r["load"])
+            except AnalysisException:
+                self._seen = []
+        return self._seen
 
     def tables(self) -> set[str]:
         return {row["table"] for row in self._commits()}
@@ -75,6 +88,7 @@ class TableStore:
                                         "mode": pa.string(), "n_rows": pa.int64()}, rows)
 
     def begin(self) -> Load:
+        self.refresh()
         number = max((r["load"] for r in self._commits()), default=0) + 1
         return Load(self, number)
 
@@ -128,6 +142,7 @@ class Load:
             "schema": pa.string()}, self.written)
         (rows.coalesce(1).write.mode("overwrite")
          .json(f"{self.store.root}/commits/load={self.number}"))
+        self.store.refresh()
 
 
 def dataset_files(files: DataFrame) -> DataFrame:

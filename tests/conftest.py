@@ -80,7 +80,7 @@ def document(site="kiosk", stamp=STAMP, products=None, **more):
         if body.get("vendor"):
             tally[body["vendor"]] = tally.get(body["vendor"], 0) + 1
     raw = {
-        "site": site, "adapter": "shopify", "base_url": f"https://{site}.example",
+        "site": site, "adapter": "feed", "base_url": f"https://{site}.example",
         "currency": "EUR", "country": "Italia", "brand_override": None, "scraped_at": stamp,
         "products_received": len(ids) + 1, "products_stored": len(ids), "vendors": tally,
         "complete": True, "pages": 2, "short_pages": 1, "collections_crawled": 1,

@@ -122,8 +122,8 @@ def test_stamps(spark, stamp, valid, day):
 
 
 def test_file_names(spark):
-    name = "end-clothing-20260830T091402Z.json"
-    assert one(spark, fn.retailer_of_file, name) == "end-clothing"
+    name = "corner-store-20260830T091402Z.json"
+    assert one(spark, fn.retailer_of_file, name) == "corner-store"
     assert one(spark, fn.stamp_of_file, name) == "20260830T091402Z"
     assert one(spark, fn.compact_stamp, "2026-08-30T09:14:02Z") == "20260830T091402Z"
     assert one(spark, fn.base_name, "s/brands/part-0.parquet") == "part-0.parquet"

@@ -111,7 +111,7 @@ def test_barren_tail(spark):
     assert walked(listing_frame(spark, [0] * 12), guaranteed=4) == [True] * 9 + [False] * 3
 
 
-def reference_walk(yields, pages, guaranteed, patience, min_new, budget):
+def sequential_walk(yields, pages, guaranteed, patience, min_new, budget):
     kept, barren, spent = [], 0, 0
     for i, n in enumerate(yields):
         if i >= guaranteed and (barren >= patience or spent >= budget):
@@ -131,7 +131,7 @@ def test_tail_cutoff_against_a_sequential_walk(spark):
     for s in range(60):
         yields = [random.choice([0, 5, 30]) for _ in range(random.randint(1, 40))]
         pages = [random.randint(0, 9) for _ in yields]
-        cases[f"s{s}"] = reference_walk(yields, pages, 3, 3, 25, 60)
+        cases[f"s{s}"] = sequential_walk(yields, pages, 3, 3, 25, 60)
         data += [(f"s{s}", "t", i, n, p) for i, (n, p) in enumerate(zip(yields, pages))]
     frame = spark.createDataFrame(
         data, "site string, scraped_at string, ix int, new_products int, pages_fetched int")
