@@ -49,7 +49,7 @@ def listing_yield(delivered: DataFrame, crawl: Sequence[str] = CRAWL,
     their earliest, then the listing that had it earliest is credited.
     """
     crawl = list(crawl)
-    rank = F.struct(*order)
+    rank = F.struct(*order) if len(order) > 1 else F.col(order[0])
     by_listing = (delivered.groupBy(*crawl, "listing", "product_id")
                   .agg(F.min(rank).alias("_at"), F.count(F.lit(1)).alias("_times")))
     credited = (first_per_key(by_listing, [*crawl, "product_id"], ["_at"])

@@ -98,12 +98,14 @@ def described(spark: SparkSession, folder: str) -> DataFrame:
         known["genders"])
 
 
-def variants(spark: SparkSession, folder: str, products: DataFrame | None = None) -> DataFrame:
+def variants(spark: SparkSession, folder: str, products: DataFrame | None = None,
+             carry: tuple[str, ...] = ()) -> DataFrame:
     currencies = conform.crawl_currencies(
         retail.staged_crawls(spark, folder), retail.vocabularies(spark)["currencies"])
     if products is None:
         products = described(spark, folder)
-    return conform.variants(retail.staged_variants(spark, folder), products, currencies)
+    return conform.variants(retail.staged_variants(spark, folder), products, currencies,
+                            carry=carry)
 
 
 @query(f"WITH {retail.STAGED_SQL} SELECT * EXCLUDE (size_slot, color_slot) FROM products")
@@ -129,9 +131,8 @@ FROM variants JOIN products USING (product, retailer, date) GROUP BY brand
 """)
 def discount_by_brand(spark: SparkSession, folder: str) -> DataFrame:
     """The flagship: from staged rows to the average discount of each allowlisted brand."""
-    kept = described(spark, folder).select(*conform.PRODUCT_GRAIN, "brand")
     return (
-        variants(spark, folder).join(kept, list(conform.PRODUCT_GRAIN)).groupBy("brand")
+        variants(spark, folder, carry=("brand",)).groupBy("brand")
         .agg(F.count(F.lit(1)).alias("n_variants"),
              F.count("original_price").alias("on_sale"),
              F.round(F.avg(F.col("discount").cast("double")), 2).cast("decimal(12,2)")
