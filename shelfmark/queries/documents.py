@@ -303,7 +303,9 @@ def vendor_check(spark: SparkSession, folder: str) -> DataFrame:
     _found_sql("WARN", "no currency", "doc_id % 11 = 0", rows="docs"),
     _found_sql("WARN", "no country", "doc_id % 13 = 0", rows="docs")))
 def thinness_check(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.thinness_checks(raw_documents(spark, folder))
+    return checks.thinness_checks(raw_documents(
+        spark, folder, "file", "currency", "country", "products", "errors", "throttled", "pages",
+        "short_pages", "listings"))
 
 
 @query(f"WITH {BASE} " + _found_sql("ERROR", "complete is missing", "doc_id % 17 = 0",
