@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import bpe, compression, language, rule_ensemble, suffix_dedup
+from shelfmark.llm import bpe, compression, jaccard, language, rule_ensemble, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def _over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_suffix_array_dedup": _over("documents", suffix_dedup.suffix_array_dedup),
+    "op2_ngram_jaccard_join": _over("documents", jaccard.ngram_jaccard_join),
     "op3_byte_level_bpe": _over("documents", bpe.byte_level_bpe),
     "op5_hyperdimensional_language": _over("documents", language.language_id),
     "op8_sparse_rule_ensemble": lambda spark, folder: rule_ensemble.sparse_rules(
