@@ -385,3 +385,14 @@ def byte_level_bpe(docs: DataFrame, path: str | None = None) -> DataFrame:
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """``doc_id``, ``source``, ``lang``, ``ids``, ``n_tokens`` and whether decoding the ids
+    gives the text back."""
+    path = path or vocabulary_path()
+    ids = encode(docs.select("doc_id", "source", "lang", "text"), path).drop("offsets")
+    return decode(ids, path).select(
+        "doc_id", "source", "lang", F.size("ids").cast("bigint").alias("n_tokens"),
+        (F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("same"),
+        "ids")

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import bpe, compression, jaccard, language, rule_ensemble, suffix_dedup
+from shelfmark.llm import (bpe, compression, jaccard, language, mixing, rule_ensemble,
+                           suffix_dedup)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,7 @@ QUERIES: dict[str, Query] = {
     "op1_suffix_array_dedup": _over("documents", suffix_dedup.suffix_array_dedup),
     "op2_ngram_jaccard_join": _over("documents", jaccard.ngram_jaccard_join),
     "op3_byte_level_bpe": _over("documents", bpe.byte_level_bpe),
+    "op4_source_mixing": _over("documents", mixing.mixing),
     "op5_hyperdimensional_language": _over("documents", language.language_id),
     "op8_sparse_rule_ensemble": lambda spark, folder: rule_ensemble.sparse_rules(
         spark.read.parquet(f"{folder}/documents.parquet"),
@@ -26,4 +28,6 @@ QUERIES: dict[str, Query] = {
     "op9_compression_bands": _over("documents", compression.compression_bands),
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_source_mixing": mixing.mixing_sql(),
+}
