@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.buffers import U, byte_column, cut_points, grouped, span_hashes
 
-TOGETHER = 2 << 20      # bytes of text encoded at a time
+TOGETHER = 1 << 20      # bytes of text encoded at a time
 BLOCK = 64              # code points of a block of the scan
-CACHE = 1_000_000       # pieces kept by a worker; then the cache starts anew
+CACHE = 300_000       # pieces kept by a worker; then the cache starts anew
 LONG = 48               # bytes from which a piece is merged with a heap of its own
 NEVER = np.int32(2**31 - 1)
 

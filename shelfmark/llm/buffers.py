@@ -64,7 +64,7 @@ _POWERS: dict[str, np.ndarray] = {}
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``BASE**i`` and its inverse for i < n, modulo 2**64."""
     if len(_POWERS.get("up", ())) < n:
-        size = 1 << max(16, (n - 1).bit_length())
+        size = (n >> 16) + 1 << 16
         for name, base in (("up", BASE), ("down", pow(BASE, -1, 2**64))):
             factors = np.full(size, base, dtype=U)
             factors[0] = 1
@@ -78,14 +78,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     sums = np.zeros(len(data) + 1, dtype=U)
     np.cumsum(LETTERS[data] * down[:-1], out=sums[1:])
     # The length takes part, so that letters whose contributions cancel cannot hide.
-    spans = (sums[ends] - sums[starts]) * _scale(starts, up)
+    spans = (sums[ends] - sums[starts]) * up[starts]
     return mix(spans + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
 
 
-def _scale(starts: np.ndarray, up: np.ndarray) -> np.ndarray:
-    return up[starts]
-
-
 def byte_column(column: pa.Array) -> list[bytes]:
     """Values of a text or binary column as bytes; null is empty."""
     kind = column.type

@@ -59,7 +59,7 @@ def unpacked(source: DataFrame, *named: str) -> list[Column]:
     return [F.col("rest").getField(c).alias(c) for c in source.columns if c not in named]
 
 
-def small_enough(keys: DataFrame, limit: int = 4_000_000) -> DataFrame:
+def small_enough(keys: DataFrame, limit: int = 1_000_000) -> DataFrame:
     """Keys of a written table, to be broadcast if they are no more than ``limit``.
 
     Beyond it the frame has no hint and the join shuffles both sides.

@@ -1,11 +1,11 @@
 """Jaccard join of word shingles through a token-group matrix.
 
 Sets are collapsed first: documents of the same set are one class with its smallest document
-as representative. Representatives are partitioned into groups of similar documents by the
-least shingle that is not common. The matrix holds, for each shingle, the groups whose union
-of *prefixes* has it: of a set of n shingles, rarest first, only the first ``n - t + 3``
-matter, since a partner shares ``t`` shingles with it and so three among those. A document
-opens a group only if the matrix bounds their overlap from below by three such shingles with
+as representative. Of a set of n shingles, rarest first, only the *prefix* of ``n - t + 3``
+matters for finding partners: a partner shares ``t`` shingles with it, and so three of those.
+Representatives are partitioned into groups of similar documents by their most shared prefix
+shingle. The matrix holds, for each shingle, the groups whose union of prefixes has it. A
+document opens a group only if it shares three shingles with the union, counting those of
 members of a fitting size; then its whole set is compared with the members'.
 
 Groups are opened in blocks of bounded size. Within a block a document that is linked
@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm import folders
-from shelfmark.llm.buffers import (U, byte_column, concat, cut_points, dump, full, grouped,
-                                   load, mix, slim, span_hashes)
+from shelfmark.llm.buffers import (U, byte_column, concat, cut_points, dump, grouped, load,
+                                   mix, span_hashes)
 from shelfmark.llm.components import components
 from shelfmark.llm.compression import words
 
@@ -83,7 +83,7 @@ def _count(batches):
     counts = np.zeros(1 << SKETCH, np.int64)
     for batch in batches:
         texts = byte_column(batch.column(0))
-        for low, high in grouped(texts, 4 << 20):
+        for low, high in grouped(texts):
             held = concat(shingle_sets(texts[low:high]), U)
             counts += np.bincount((held >> U(64 - SKETCH)).astype(np.int64),
                                   minlength=1 << SKETCH)
@@ -111,8 +111,8 @@ def _sum_counts(batches):
             ["slots", "blob"])
 
 
-def shingle_levels(texts: DataFrame) -> tuple[np.ndarray, int]:
-    """The order of magnitude of each slot's count over all documents, and the common one.
+def shingle_levels(texts: DataFrame) -> np.ndarray:
+    """The order of magnitude of each slot's count over all documents.
 
     A table of fixed size, not of shingles: slots are shared. Any order of shingles gives
     right results; this one puts shingles of hot passages last.
@@ -122,146 +122,183 @@ def shingle_levels(texts: DataFrame) -> tuple[np.ndarray, int]:
     counts = np.zeros((RANGES, (1 << SKETCH) // RANGES), np.int64)
     for row in rows:
         counts[row.slots] += load(row.blob)[0]
-    counts = counts.ravel()
-    level = np.floor(4 * np.log2(counts + 1.0)).astype(np.uint8)
-    return level, int(4 * np.log2(8 * (counts.mean() + 1.0)))
+    return np.floor(4 * np.log2(counts.ravel() + 1.0)).astype(np.uint8)
 
 
 # --- signatures and the matrix ---------------------------------------------------------
 
-def signature(held: np.ndarray, level: np.ndarray, common: int):
-    """Two digests of a set, the key of its group, and its prefix."""
+def signature(held: np.ndarray, level: np.ndarray):
+    """Two digests of a set and its prefix."""
     first = int(mix(held).sum(dtype=U)) if len(held) else 0
     second = int(mix(held ^ U(0x5851F42D4C957F2D)).sum(dtype=U)) if len(held) else 0
     n = len(held)
-    levels = level[(held >> U(64 - SKETCH)).astype(np.int64)]
-    rare = held[levels < common]
-    group = int(rare[0] if len(rare) else held[0]) if n else 0
     size = n - least_overlap(n) + min(SHARED, n)
-    order = np.argsort(levels, kind="stable")[:size]
-    return first, second, group, held[order]
+    order = np.argsort(level[(held >> U(64 - SKETCH)).astype(np.int64)], kind="stable")
+    return first, second, held[order[:size]]
 
 
 def _signatures(levels):
     def run(batches):
-        level, common = levels.value
+        level = levels.value
         for batch in batches:
             texts = byte_column(batch.column(1))
-            for low, high in grouped(texts, 2 << 20):
+            for low, high in grouped(texts):
                 sets = shingle_sets(texts[low:high])
-                told = [signature(s, level, common) for s in sets]
+                told = [signature(s, level) for s in sets]
                 signed = [pa.array(np.array([t[i] for t in told], U).view(np.int64))
-                          for i in range(3)]
+                          for i in range(2)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(low, high - low),
                      pa.array([len(s) for s in sets], pa.int64()), *signed,
-                     pa.array([t[3].tobytes() for t in told], pa.binary())],
-                    ["id", "n", "first", "second", "grp", "prefix"])
+                     pa.array([t[2].tobytes() for t in told], pa.binary())],
+                    ["id", "n", "first", "second", "prefix"])
     return run
 
 
+def _dealt(name: str, key: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """Columns as blobs, a row for each value of the key."""
+    order = np.argsort(key, kind="stable")
+    key, columns = key[order], [c[order] for c in columns]
+    at = cut_points(key)
+    blobs = [dump(*(c[low:high] for c in columns))
+             for low, high in zip(at, np.r_[at[1:], len(key)], strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(key[at], pa.int64()),
+                                       pa.array(blobs, pa.binary())], [name, "blob"])
+
+
+def _bucket(token: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(token) % U(buckets)).astype(np.int64)
+
+
+def _gathered(batches) -> list[list[np.ndarray]]:
+    """The columns of all blobs of a partition, by key."""
+    found: dict[int, list] = {}
+    for batch in batches:
+        for key, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                             strict=True):
+            found.setdefault(key, []).append(load(blob))
+    return [[np.concatenate(c) for c in zip(*blobs, strict=True)] for blobs in found.values()]
+
+
 def _postings(buckets: int):
-    """Prefix shingles of many representatives, a row for each bucket."""
+    """Prefix shingles of representatives, dealt by shingle."""
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            for i, n, g, prefix in zip(*(batch.column(c).to_pylist() for c in range(4)),
-                                       strict=True):
+            for i, n, prefix in zip(*(batch.column(c).to_pylist() for c in range(3)),
+                                    strict=True):
                 token = np.frombuffer(prefix, U)
-                held.append((token, i, n, g))
+                held.append((token, np.full(len(token), i, np.int64),
+                             np.full(len(token), n, np.uint32)))
                 size += len(token)
                 if size > 1 << 20:
-                    yield _posted(held, buckets)
+                    token, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
+                    yield _dealt("bucket", _bucket(token, buckets), token, *rest)
                     held, size = [], 0
         if held:
-            yield _posted(held, buckets)
+            token, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
+            yield _dealt("bucket", _bucket(token, buckets), token, *rest)
     return run
 
 
-def _posted(held, buckets):
-    token = np.concatenate([h[0] for h in held])
-    times = [len(h[0]) for h in held]
-    doc, n, grp = (np.repeat(np.array([h[c] for h in held], np.int64), times)
-                   for c in (1, 2, 3))
-    bucket = (mix(token) % U(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    at = cut_points(bucket[order])
-    keys, blobs = [], []
-    for low, high in zip(at, np.r_[at[1:], len(order)], strict=True):
-        rows = order[low:high]
-        keys.append(int(bucket[rows[0]]))
-        blobs.append(dump(token[rows], *slim(doc[rows]), n[rows].astype(np.uint32), grp[rows]))
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())],
-                                      ["bucket", "blob"])
-
-
-def _matrix(batches):
-    """For each document the groups whose prefixes share shingles with its own."""
-    buckets: dict[int, list] = {}
-    for batch in batches:
-        for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                strict=True):
-            buckets.setdefault(bucket, []).append(load(blob))
-    for blobs in buckets.values():
-        token = np.concatenate([b[0] for b in blobs])
-        doc = np.concatenate([full(b[1], b[2]) for b in blobs])
-        n = np.concatenate([b[3] for b in blobs]).astype(np.int64)
-        grp = np.concatenate([b[4] for b in blobs])
-        order = np.argsort(token, kind="stable")
-        at = cut_points(token[order])
-        count = np.diff(np.r_[at, len(order)])
-        order = order[np.repeat(count > 1, count)]
-        order = order[np.lexsort((grp[order], token[order]))]
-        if len(order):
-            yield from _bounds(token[order], doc[order], n[order], grp[order])
-
-
-def _bounds(token, doc, n, grp):
+def _shared(parts: int):
+    """Shingles that two prefixes or more have, with how many do, dealt by document."""
+    def run(batches):
+        for token, doc, n in _gathered(batches):
+            order = np.argsort(token, kind="stable")
+            token, doc, n = token[order], doc[order], n[order]
+            at = cut_points(token)
+            count = np.diff(np.r_[at, len(token)])
+            count = np.repeat(count, count)
+            several = count > 1
+            if several.any():
+                yield _dealt("part", doc[several] % parts, token[several], doc[several],
+                             n[several], count[several])
+    return run
+
+
+def _groups(buckets: int):
+    """The group of each document: its most shared prefix shingle. Dealt by shingle.
+
+    A shingle that only one document has says nothing of what the document is similar to;
+    the most shared one is that of the largest family it belongs to. Documents that share
+    too few prefix shingles with all others together have no links.
+    """
+    def run(batches):
+        for token, doc, n, count in _gathered(batches):
+            order = np.lexsort((token, -count, doc))
+            token, doc, n = token[order], doc[order], n[order]
+            at = cut_points(doc)
+            size = np.diff(np.r_[at, len(doc)])
+            enough = np.repeat(size >= SHARED, size)
+            group = np.repeat(token[at], size).view(np.int64)
+            if enough.any():
+                yield _dealt("bucket", _bucket(token[enough], buckets), token[enough],
+                             doc[enough], n[enough], group[enough])
+    return run
+
+
+def _matrix(parts: int):
+    """How many shingles each document shares with each group's union, bucket by bucket."""
+    def run(batches):
+        for token, doc, n, group in _gathered(batches):
+            order = np.lexsort((group, token))
+            yield from _bounds(parts, token[order], doc[order], n[order].astype(np.int64),
+                               group[order])
+    return run
+
+
+def _bounds(parts, token, doc, n, grp):
     fresh = np.r_[True, token[1:] != token[:-1]]
-    row = np.flatnonzero(fresh | np.r_[True, grp[1:] != grp[:-1]])      # the matrix
-    row_token = (np.cumsum(fresh) - 1)[row]
     of_token = np.cumsum(fresh) - 1
+    row = np.flatnonzero(fresh | np.r_[True, grp[1:] != grp[:-1]])      # of the matrix
     low, high = np.minimum.reduceat(n, row), np.maximum.reduceat(n, row)
     members = np.diff(np.r_[row, len(token)])
-    begin = np.searchsorted(row_token, of_token, "left")
-    width = np.searchsorted(row_token, of_token, "right") - begin
-    at, found, size = 0, [], 0
+    begin = np.searchsorted(of_token[row], of_token, "left")
+    width = np.searchsorted(of_token[row], of_token, "right") - begin
     reach = np.cumsum(width)
+    at, found, size = 0, [], 0
     while at < len(token):
         end = max(at + 1, int(np.searchsorted(reach, (reach[at - 1] if at else 0) + PAIRS)))
         w = width[at:end]
         query = np.repeat(np.arange(at, end), w)
         opened = np.repeat(begin[at:end] - (np.cumsum(w) - w), w) + np.arange(w.sum())
-        own = grp[row[opened]] == grp[query]
-        fits = ((grp[row[opened]] <= grp[query]) & (10 * high[opened] >= 9 * n[query])
-                & (10 * n[query] >= 9 * low[opened]) & (~own | (members[opened] > 1)))
-        found.append((doc[query[fits]], grp[row[opened[fits]]], n[query[fits]],
-                      grp[query[fits]]))
+        of = grp[row[opened]]
+        own = of == grp[query]
+        fits = own | ((of < grp[query]) & (10 * high[opened] >= 9 * n[query])
+                      & (10 * n[query] >= 9 * low[opened]))
+        # Its own shingle bounds a document's overlap only with others of its group.
+        counts = np.where(own & (members[opened] == 1), 0, 1)
+        found.append((doc[query[fits]], of[fits], n[query[fits]], grp[query[fits]],
+                      counts[fits]))
         size += int(fits.sum())
         at = end
-        if size > PAIRS or at == len(token):
-            told = _tally(*(np.concatenate(x) for x in zip(*found, strict=True)))
-            if told is not None:
-                yield told
+        if size and (size > PAIRS or at == len(token)):
+            tally = _tally(*(np.concatenate(x) for x in zip(*found, strict=True)))
+            yield _dealt("part", tally[0] % parts, *tally)
             found, size = [], 0
 
 
-def _tally(doc, grp, n, own):
-    if not len(doc):
-        return None
+def _tally(doc, grp, n, own, counts):
     order = np.lexsort((grp, doc))
-    doc, grp, n, own = doc[order], grp[order], n[order], own[order]
+    doc, grp, n, own, counts = (x[order] for x in (doc, grp, n, own, counts))
     first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (grp[1:] != grp[:-1])])
-    shared = np.diff(np.r_[first, len(doc)])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(doc[first]), pa.array(n[first]), pa.array(own[first]),
-         pa.array(grp[first]), pa.array(shared.astype(np.int64))],
-        ["id", "n", "own", "grp", "shared"])
+    return doc[first], grp[first], n[first], own[first], np.add.reduceat(counts, first)
+
+
+def _opened(batches):
+    """Of each document its own group, and every group whose bound is high enough."""
+    for columns in _gathered(batches):
+        doc, grp, n, own, shared = _tally(*columns)
+        kept = (grp == own) | (shared >= SHARED)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x[kept].astype(np.int64)) for x in (doc, n, own, grp, shared)],
+            ["id", "n", "own", "grp", "shared"])
 
 
 # --- opening groups --------------------------------------------------------------------
 
-def _routes(reps: DataFrame, opened: DataFrame) -> DataFrame:
+def _routes(opened: DataFrame) -> DataFrame:
     """The units in which each document's set is needed, and as what.
 
     A unit is (group, block of members, form, block of queries). Forms: 0, members of a
@@ -271,7 +308,7 @@ def _routes(reps: DataFrame, opened: DataFrame) -> DataFrame:
     unit = lambda m, form, q: F.struct(
         F.col("grp"), F.expr(m).cast("bigint").alias("m"), F.lit(form).alias("form"),
         F.expr(q).cast("bigint").alias("q"))
-    within = opened.where("grp = own").select("id", "grp", "n")
+    within = opened.where(f"grp = own AND shared >= {SHARED}").select("id", "grp", "n")
     across = opened.where("grp <> own").select("id", "grp", "n")
     at = F.pmod(F.xxhash64("id"), F.col("blocks"))
 
@@ -281,7 +318,8 @@ def _routes(reps: DataFrame, opened: DataFrame) -> DataFrame:
     size = within.groupBy("grp").agg(block(F.sum("n")).alias("blocks"))
     own = within.join(size, "grp").withColumn("at", at)
     groups = across.select("grp").distinct()
-    everyone = reps.join(groups, "grp", "left_semi").select("id", "grp", "n")
+    everyone = opened.where("grp = own").join(groups, "grp", "left_semi").select(
+        "id", "grp", "n")
     sizes = everyone.groupBy("grp").agg(block(F.sum("n")).alias("blocks")).join(
         across.groupBy("grp").agg(block(F.sum("n")).alias("queries")), "grp")
     holders = everyone.join(sizes, "grp").withColumn("at", at)
@@ -311,7 +349,7 @@ def _sets_for_units(batches):
     for batch in batches:
         texts = byte_column(batch.column(1))
         ids, routes = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-        for low, high in grouped(texts, 2 << 20):
+        for low, high in grouped(texts):
             rows = []
             for i, route, held in zip(ids[low:high], routes[low:high],
                                       shingle_sets(texts[low:high]), strict=True):
@@ -417,7 +455,7 @@ def jaccard_classes(docs: DataFrame, id_column: str = "doc_id",
     buckets = folders.parts_for(folders.total_bytes(texts, "text"), BUCKET_BYTES)
     levels = spark.sparkContext.broadcast(shingle_levels(texts.select("text")))
     signed = folders.written(texts.mapInArrow(
-        _signatures(levels), "id bigint, n bigint, first bigint, second bigint, grp bigint, "
+        _signatures(levels), "id bigint, n bigint, first bigint, second bigint, "
                              "prefix binary"), "signatures")
 
     known = signed.where("n > 0 AND id IS NOT NULL")
@@ -427,16 +465,17 @@ def jaccard_classes(docs: DataFrame, id_column: str = "doc_id",
     classed = known.join(several, ["first", "second"], "left")
     copies = classed.where("rep <> id").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     # Sets of up to eight shingles are linked to equal ones only.
-    reps = classed.where("n > 8 AND (rep IS NULL OR rep = id)")
+    reps = classed.where("n > 8 AND (rep IS NULL OR rep = id)").select("id", "n", "prefix")
+    by_token, by_document = "bucket bigint, blob binary", "part bigint, blob binary"
     opened = folders.written(
-        reps.select("id", "n", "grp", "prefix")
-        .mapInArrow(_postings(buckets), "bucket bigint, blob binary")
-        .repartition(buckets, "bucket")
-        .mapInArrow(_matrix, "id bigint, n bigint, own bigint, grp bigint, shared bigint")
-        .groupBy("id", "n", "own", "grp").agg(F.sum("shared").alias("shared"))
-        .where(F.col("shared") >= SHARED), "opened")
+        reps.mapInArrow(_postings(buckets), by_token).repartition(buckets, "bucket")
+        .mapInArrow(_shared(buckets), by_document).repartition(buckets, "part")
+        .mapInArrow(_groups(buckets), by_token).repartition(buckets, "bucket")
+        .mapInArrow(_matrix(buckets), by_document).repartition(buckets, "part")
+        .mapInArrow(_opened, "id bigint, n bigint, own bigint, grp bigint, shared bigint"),
+        "opened")
     routes = folders.small_enough(folders.written(
-        _routes(reps.select("id", "grp", "n"), opened).groupBy("id").agg(
+        _routes(opened).groupBy("id").agg(
             F.collect_list(F.struct("unit", "member")).alias("routes")), "routes"))
     links = (
         texts.join(routes, "id").select("id", "text", "routes")
