@@ -163,7 +163,6 @@ class Vocabulary:
                 left, right = rank.get(token[:cut]), rank.get(token[cut:])
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = i
-        self.pairs = pairs
         self.keys = np.array(sorted(pairs), np.int64)
         self.ranks = np.array([pairs[k] for k in self.keys.tolist()], np.int32)
         self.sizes = np.array([len(t) for t in tokens], np.int64)
@@ -183,6 +182,11 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], NEVER)
 
+    def _rank(self, left: int, right: int) -> int | None:
+        key = left << 32 | right
+        at = int(np.searchsorted(self.keys, key))
+        return int(self.ranks[at]) if at < len(self.keys) and self.keys[at] == key else None
+
     def merge_long(self, piece: bytes) -> list[int]:
         """Ids of one piece: the least pair first, the leftmost of equals, by a heap."""
         ids = self.byte[np.frombuffer(piece, np.uint8)].tolist()
@@ -191,7 +195,7 @@ class Vocabulary:
 
         def offer(i):
             if i >= 0 and after[i] < len(ids):
-                rank = self.pairs.get(ids[i] << 32 | ids[after[i]])
+                rank = self._rank(ids[i], ids[after[i]])
                 if rank is not None:
                     heapq.heappush(heap, (rank, i, ids[i], ids[after[i]]))
 

@@ -6,6 +6,7 @@ mixer. They are the same on every machine.
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 from collections.abc import Iterator
 
@@ -82,8 +83,18 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(spans + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
 
 
+def _give_back() -> None:
+    """Memory that the last batch has left goes back to the machine; workers live long."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # another C library
+        pass
+
+
 def byte_column(column: pa.Array) -> list[bytes]:
     """Values of a text or binary column as bytes; null is empty."""
+    _give_back()
     kind = column.type
     if pa.types.is_string(kind) or pa.types.is_large_string(kind):
         column = column.cast(pa.large_binary() if pa.types.is_large_string(kind)

@@ -47,7 +47,7 @@ class Profiles:
         self.second = np.roll(letters, 1, axis=1)
         self.third = letters
         self.row = np.full(SYMBOLS ** 3, -1, np.int32)
-        self.table = np.empty((4096, WIDTH), np.float32)
+        self.table = np.empty((4096, WIDTH), np.int8)
         self.used = 0
 
     def of(self, grams: np.ndarray) -> np.ndarray:
@@ -59,7 +59,7 @@ class Profiles:
                 self.first[new >> 12] * self.second[(new >> 6) & 63] * self.third[new & 63])
             self.row[new] = np.arange(self.used, self.used + len(new))
             self.used += len(new)
-        return self.table[self.row[grams]]
+        return self.table[self.row[grams]].astype(np.float32)
 
     def unit(self, text: bytes) -> np.ndarray | None:
         """The text's vector at length one; None if it has no letter."""
