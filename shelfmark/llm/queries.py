@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import (bpe, compression, hamming_index, jaccard, language, mixing,
-                           rule_ensemble, suffix_dedup, warc)
+from shelfmark.llm import (bpe, chaining, compression, hamming_index, jaccard, language,
+                           mixing, rule_ensemble, suffix_dedup, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,7 @@ QUERIES: dict[str, Query] = {
     "op4_source_mixing": _over("documents", mixing.mixing),
     "op5_hyperdimensional_language": _over("documents", language.language_id),
     "op6_capture_index": _over("pages", warc.capture_index),
+    "op7_collinear_chaining": _over("documents", chaining.collinear_chaining),
     "op8_sparse_rule_ensemble": lambda spark, folder: rule_ensemble.sparse_rules(
         spark.read.parquet(f"{folder}/documents.parquet"),
         spark.read.parquet(f"{folder}/labels.parquet")),
