@@ -326,14 +326,13 @@ def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
     traced to its bytes. Special tokens are ordinary text.
     """
     tokens = _broadcast_tokens(docs, path)
-    frame = docs.select(F.col(text_column).cast("binary").alias("text"),
-                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
+    frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
     whole = frame.schema["whole"].dataType.simpleString()
 
     def run(batches):
         vocabulary = _vocabulary(path, tokens)
         for batch in batches:
-            texts = byte_column(batch.column(0))
+            texts = byte_column(batch.column(0).field(text_column))
             for low, high in grouped(texts, TOGETHER):
                 ids, counts = vocabulary.encode(texts[low:high])
                 size = vocabulary.sizes[ids]
@@ -342,7 +341,7 @@ def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
                 begun = np.array([len(t) for t in texts[low:high]])
                 begin -= np.repeat(np.cumsum(begun) - begun, counts)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(1).slice(low, high - low), _lists(total, ids),
+                    [batch.column(0).slice(low, high - low), _lists(total, ids),
                      _lists(total, begin.astype(np.int32))], ["whole", "ids", "offsets"])
 
     told = frame.mapInArrow(run, f"whole {whole}, ids array<int>, offsets array<int>")
