@@ -319,11 +319,13 @@ def _broadcast_tokens(frame: DataFrame, path: str):
     return frame.sparkSession.sparkContext.broadcast(read_ranks(path))
 
 
-def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, text_column: str = "text",
+           decoded: bool = False) -> DataFrame:
     """``docs`` with ``ids``, the tokens of each whole text; null and empty give none.
 
     ``offsets`` has the byte at which each token begins, so that a stretch of tokens can be
-    traced to its bytes. Special tokens are ordinary text.
+    traced to its bytes. Special tokens are ordinary text. With ``decoded`` the ids are
+    decoded again in the same task, which saves a second set of Python workers.
     """
     tokens = _broadcast_tokens(docs, path)
     frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
@@ -340,12 +342,17 @@ def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
                 total = np.concatenate([[0], np.cumsum(counts)])
                 begun = np.array([len(t) for t in texts[low:high]])
                 begin -= np.repeat(np.cumsum(begun) - begun, counts)
+                again = [vocabulary.decode(ids[a:b])
+                         for a, b in zip(total.tolist(), total[1:].tolist(), strict=False)
+                         ] if decoded else [None] * (high - low)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(low, high - low), _lists(total, ids),
-                     _lists(total, begin.astype(np.int32))], ["whole", "ids", "offsets"])
+                     _lists(total, begin.astype(np.int32)), pa.array(again, pa.binary())],
+                    ["whole", "ids", "offsets", "decoded"])
 
-    told = frame.mapInArrow(run, f"whole {whole}, ids array<int>, offsets array<int>")
-    return told.select("whole.*", "ids", "offsets")
+    told = frame.mapInArrow(
+        run, f"whole {whole}, ids array<int>, offsets array<int>, decoded binary")
+    return told.select("whole.*", "ids", "offsets", *["decoded"] * decoded)
 
 
 def _lists(total: np.ndarray, values: np.ndarray) -> pa.Array:
@@ -383,8 +390,7 @@ def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:
 def byte_level_bpe(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Counts and digests of ids and of the bytes they decode to."""
     path = path or vocabulary_path()
-    ids = encode(docs.select("doc_id", "text"), path).select("doc_id", "ids")
-    return decode(ids, path).select(
+    return encode(docs.select("doc_id", "text"), path, decoded=True).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -394,8 +400,8 @@ def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``doc_id``, ``source``, ``lang``, ``ids``, ``n_tokens`` and whether decoding the ids
     gives the text back."""
     path = path or vocabulary_path()
-    ids = encode(docs.select("doc_id", "source", "lang", "text"), path).drop("offsets")
-    return decode(ids, path).select(
+    ids = encode(docs.select("doc_id", "source", "lang", "text"), path, decoded=True)
+    return ids.select(
         "doc_id", "source", "lang", F.size("ids").cast("bigint").alias("n_tokens"),
         (F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("same"),
         "ids")

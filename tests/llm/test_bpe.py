@@ -70,4 +70,6 @@ def test_offsets_and_clashing_columns(spark, vocabulary):
     begin = [*row.offsets, len("The quick é".encode())]
     for token, a, b in zip(row.ids, begin, begin[1:]):
         assert vocabulary.tokens[token] == "The quick é".encode()[a:b]
+    tokens = bpe.encode(frame, PATH)
+    assert bpe.decode(tokens, PATH).first().decoded == "The quick é".encode()
     assert row.whole == "x" and bpe.encode(frame.limit(0), PATH).count() == 0
