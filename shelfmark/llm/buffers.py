@@ -128,7 +128,8 @@ def slim(ids: np.ndarray) -> tuple[int, np.ndarray]:
         return 0, ids
     base = int(ids.min())
     wide = int(ids.max()) - base
-    return base, (ids - base).astype(np.uint32 if wide < 2**32 else np.int64)
+    return base, (ids - base).astype(np.uint16 if wide < 2**16 else np.uint32 if wide < 2**32
+                                     else np.int64)
 
 
 def full(base: int, offsets: np.ndarray) -> np.ndarray:
