@@ -11,8 +11,11 @@ SEASON_BY_MONTH = ("WINTER", "WINTER", "SPRING", "SPRING", "SPRING", "SUMMER",
 
 
 def crawl_date(scraped_at: Column) -> Column:
-    """The UTC date of an ISO-8601 crawl stamp; null when it is not one."""
-    return F.to_date(F.try_to_timestamp(scraped_at))
+    """The UTC date of an ISO-8601 crawl stamp; null when it is not one.
+
+    A stamp names an instant; its date must not depend on the session's time zone.
+    """
+    return F.to_date(F.to_utc_timestamp(F.try_to_timestamp(scraped_at), F.current_timezone()))
 
 
 def season_of(month: Column) -> Column:

@@ -129,3 +129,18 @@ def test_file_names(spark):
     assert one(spark, fn.base_name, "s/brands/part-0.parquet") == "part-0.parquet"
     assert one(spark, fn.dataset_of, "s/brands/part-0.parquet") == "brands"
     assert one(spark, fn.dataset_of, "part-0.parquet") == ""
+
+
+def test_crawl_dates_are_utc_in_every_session_zone(spark):
+    from pyspark.sql import functions as F
+
+    from shelfmark.functions.calendar import crawl_date
+    stamps = spark.createDataFrame([("2026-08-30T23:14:02Z",), ("2026-08-30T00:10:00Z",)], "s string")
+    held = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Asia/Tokyo", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            dates = stamps.select(crawl_date(F.col("s")).cast("string")).collect()
+            assert [d[0] for d in dates] == ["2026-08-30"] * 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", held)
