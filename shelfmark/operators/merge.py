@@ -9,24 +9,31 @@ from pyspark.sql import functions as F
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str],
-             scope: str | None = None) -> DataFrame:
+             within: tuple[str, Sequence] | None = None) -> DataFrame:
     """Source rows whose key the target does not hold.
 
     The insert-only merge is this, appended: nothing the target holds is read
-    beyond its keys, and nothing is rewritten. ``scope`` names a partition column
-    among the keys; only the target partitions the source touches are then read.
-    A null in a key never matches.
+    beyond its keys, and nothing is rewritten. ``within`` is a partition column among
+    the keys and the values of it that the source has (``values_of``); being literals,
+    they prune the target to those partitions when the query is planned. A null in a
+    key never matches.
     """
     held = target.select(*keys)
-    if scope:
-        held = held.join(source.select(scope).distinct(), scope, "left_semi")
+    if within:
+        column, values = within
+        held = held.where(F.col(column).isin([v for v in values if v is not None]))
     return source.join(held, list(keys), "left_anti")
 
 
+def values_of(frame: DataFrame, column: str) -> list:
+    """The distinct values of a partition column: as many as a run touches partitions."""
+    return [row[0] for row in frame.select(column).distinct().collect()]
+
+
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                      scope: str | None = None) -> DataFrame:
+                      within: tuple[str, Sequence] | None = None) -> DataFrame:
     """The target plus the source rows it does not hold: the first write wins."""
-    return target.unionByName(new_rows(target, source, keys, scope))
+    return target.unionByName(new_rows(target, source, keys, within))
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.guards import InputError, require_rows
-from ..operators.merge import new_rows
+from ..operators.merge import new_rows, values_of
 from ..schemas import ANALYTICAL, CURRENT_TABLES, HISTORICAL_TABLES, PROCESSED
 from ..session import cut_lineage
 from ..sources.tables import APPEND, REPLACE, TableStore
@@ -38,8 +38,8 @@ def load_processed(run: TableStore, history: TableStore) -> dict[str, int]:
         added[table] = load.write(table, typed(run.read(table), table), REPLACE, files=1)
     for table in HISTORICAL_TABLES:
         spec = PROCESSED[table]
-        held = history.read_or_empty(table, spec.ddl)
-        fresh = new_rows(held, typed(run.read(table), table), spec.grain, scope="date")
+        held, rows = history.read_or_empty(table, spec.ddl), typed(run.read(table), table)
+        fresh = new_rows(held, rows, spec.grain, ("date", values_of(rows, "date")))
         added[table] = load.write(table, fresh, APPEND, partition_by="date")
     load.commit()
     return added
@@ -90,13 +90,16 @@ def load_analytical(history: TableStore, model: TableStore,
         processed["products"], dims["dim_brand"], dims["dim_retailer"],
         dims["dim_category"], dims["dim_gender"], dims["dim_date"]))
     unresolved = star.unresolved_products(observed).count()
+    # A fact joins its product's row, so its date is among those of the observations.
+    date_keys = values_of(observed, "date_key")
     added["dim_product"] = load.write(
-        "dim_product", star.new_products(held["dim_product"], observed), APPEND,
+        "dim_product", star.new_products(held["dim_product"], observed, date_keys), APPEND,
         partition_by="date_key")
     facts = star.fact_rows(processed["variants"], load.pending("dim_product"),
                            dims["dim_retailer"], dims["dim_date"], dims["dim_currency"])
     added["fact_product_observation"] = load.write(
-        "fact_product_observation", star.new_facts(held["fact_product_observation"], facts),
+        "fact_product_observation",
+        star.new_facts(held["fact_product_observation"], facts, date_keys),
         APPEND, partition_by="date_key")
     load.commit()
     return AnalyticalLoad(added, unresolved)

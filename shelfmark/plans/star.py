@@ -109,10 +109,15 @@ def unresolved_products(observations: DataFrame) -> DataFrame:
     return observations.where(F.col("retailer_key").isNull() | F.col("date_key").isNull())
 
 
-def new_products(held: DataFrame, observations: DataFrame) -> DataFrame:
-    """DIM_PRODUCT rows to append: one per product, retailer and date not yet held."""
+def new_products(held: DataFrame, observations: DataFrame,
+                 date_keys: Sequence[int] | None = None) -> DataFrame:
+    """DIM_PRODUCT rows to append: one per product, retailer and date not yet held.
+
+    ``date_keys`` are all that the observations have, where they are known; only those
+    partitions of what is held are then read for their keys.
+    """
     resolved = observations.dropna(subset=["retailer_key", "date_key"])
-    fresh = new_rows(held, resolved, PRODUCT_KEYS, scope="date_key")
+    fresh = new_rows(held, resolved, PRODUCT_KEYS, _within(date_keys))
     return interleaved_keys(fresh, "product_key", PRODUCT_KEYS,
                             highest_key(held, "product_key"))
 
@@ -138,6 +143,11 @@ def fact_rows(variants: DataFrame, products: DataFrame, retailers: DataFrame,
     )
 
 
-def new_facts(held: DataFrame, rows: DataFrame) -> DataFrame:
+def new_facts(held: DataFrame, rows: DataFrame,
+              date_keys: Sequence[int] | None = None) -> DataFrame:
     """Fact rows to append: the first write of an observation stays."""
-    return new_rows(held, rows, FACT_KEYS, scope="date_key")
+    return new_rows(held, rows, FACT_KEYS, _within(date_keys))
+
+
+def _within(date_keys: Sequence[int] | None) -> tuple[str, Sequence[int]] | None:
+    return None if date_keys is None else ("date_key", date_keys)

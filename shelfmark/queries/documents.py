@@ -174,17 +174,33 @@ docs AS (
 sound AS (SELECT * FROM docs WHERE doc_id % 17 <> 0)"""
 
 
-@query(f"""
+PRODUCTS_SQL = f"""
 WITH {BASE}
 SELECT site, scraped_at, coalesce(body_id, word) AS id, 'T ' || word AS title, vendor,
   CASE WHEN length(word) > 8 THEN 'long' ELSE 'short' END AS product_type
 FROM bodies JOIN docs USING (doc_id)
-""")
+"""
+
+
+@query(PRODUCTS_SQL)
 def shred_documents(spark: SparkSession, folder: str) -> DataFrame:
     rows = raw.product_rows(raw.document_bodies(parsed_documents(spark, folder)))
     return rows.select("site", "scraped_at", "id", "title", "vendor", "product_type")
 
 
+@query(PRODUCTS_SQL)
+def shred_split_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """The same out of indented texts, cut where a product closes."""
+    documents = raw_documents(spark, folder, "file", "site", "scraped_at", "products")
+    text = F.to_json(F.struct("site", "scraped_at", "products"), {"pretty": "true"})
+    pieces = evaluated_once(documents, F.col("file").alias("file_path"), F.split(
+        text, "\n    \\}").alias("cut")).select("file_path", F.explode("cut").alias("value"))
+    heads = raw_documents(spark, folder, "file", "site", "scraped_at").withColumnRenamed(
+        "file", "file_path")
+    rows = raw.product_rows(raw.split_bodies(pieces, heads))
+    return rows.select("site", "scraped_at", "id", "title", "vendor", "product_type")
+
+
 @query(f"""
 WITH {BASE}
 SELECT site, scraped_at, word AS product_id, word || '-1' AS id, upper(replace(word, 'ß', 'SS')) AS sku,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import merge_insert_only, merge_upsert, new_rows
+from ..operators.merge import merge_insert_only, merge_upsert
 from ..plans import conform
 from .registry import query, table
 
@@ -44,7 +44,7 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_totalprice").cast("decimal(12,2)").alias("total"))
 
 
-@query("""
+ORDERS_MERGED_SQL = """
 WITH o AS (SELECT o_orderkey, cast(o_orderdate AS DATE) AS date, o_orderstatus,
                   cast(o_totalprice AS DECIMAL(12,2)) AS total FROM orders),
 held AS (SELECT * FROM o WHERE date < DATE '1999-01-01'),
@@ -53,25 +53,30 @@ run AS (SELECT o_orderkey, date, o_orderstatus, cast(total + 1 AS DECIMAL(12,2))
 SELECT * FROM held UNION ALL
 SELECT * FROM run r WHERE NOT EXISTS (
   SELECT 1 FROM held h WHERE h.o_orderkey = r.o_orderkey AND h.date = r.date)
-""", name="merge_insert_only")
-def merge_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """A year both runs saw: the first write stays."""
+"""
+
+
+def _held_and_run(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """A year is in both, with other totals in the run."""
     orders = _orders(spark, folder)
-    held = orders.where("date < date'1999-01-01'")
     run = orders.where("date >= date'1998-01-01'").withColumn(
         "total", (F.col("total") + 1).cast("decimal(12,2)"))
-    return merge_insert_only(held, run, ["o_orderkey", "date"], scope="date")
+    return orders.where("date < date'1999-01-01'"), run
 
 
-@query("""
-SELECT count(*) AS added FROM orders o WHERE NOT EXISTS (
-  SELECT 1 FROM orders h WHERE h.o_orderkey = o.o_orderkey)
-""")
+@query(ORDERS_MERGED_SQL, name="merge_insert_only")
+def merge_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """A year both runs saw: the first write stays."""
+    return merge_insert_only(*_held_and_run(spark, folder), ["o_orderkey", "date"])
+
+
+@query(ORDERS_MERGED_SQL)
 def merge_rerun(spark: SparkSession, folder: str) -> DataFrame:
-    """The same run merged again adds nothing."""
-    orders = _orders(spark, folder)
-    return new_rows(orders, orders, ["o_orderkey", "date"], scope="date").agg(
-        F.count(F.lit(1)).alias("added"))
+    """The run merged once more, with totals changed again: the rows stay as they were."""
+    held, run = _held_and_run(spark, folder)
+    once = merge_insert_only(held, run, ["o_orderkey", "date"])
+    again = run.withColumn("total", (F.col("total") * 2).cast("decimal(12,2)"))
+    return merge_insert_only(once, again, ["o_orderkey", "date"])
 
 
 @query("""

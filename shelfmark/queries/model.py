@@ -255,6 +255,22 @@ def fact_observation(spark: SparkSession, folder: str) -> DataFrame:
     return facts(spark, folder)
 
 
+@query(f"""
+WITH {FACT_SQL},
+held AS (SELECT * FROM facts WHERE date_key <= 4 AND available),
+run AS (SELECT * REPLACE (original_price AS price) FROM facts WHERE date_key > 2)
+SELECT * FROM held UNION ALL SELECT * FROM run r WHERE NOT EXISTS (
+  SELECT 1 FROM held h WHERE h.variant_id = r.variant_id AND h.product_id = r.product_id
+    AND h.retailer_key = r.retailer_key AND h.date_key = r.date_key)
+""")
+def fact_second_load(spark: SparkSession, folder: str) -> DataFrame:
+    """A later load that overlaps the first with other prices: the first write stays."""
+    rows = facts(spark, folder)
+    held = rows.where("date_key <= 4 AND available")
+    run = rows.where("date_key > 2").withColumn("price", F.col("original_price"))
+    return held.unionByName(star.new_facts(held, run))
+
+
 @query(f"""
 WITH {FACT_SQL}, one AS (
   SELECT count(*) AS n, count(brand_key) AS b, count(category_key) AS c, count(currency_key) AS u

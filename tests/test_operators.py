@@ -45,7 +45,8 @@ def test_insert_only_merge(spark):
 def test_insert_only_merge_within_a_scope(spark):
     target = spark.createDataFrame([(1, date(2026, 1, 1)), (1, date(2026, 1, 2))], "k int, date date")
     source = spark.createDataFrame([(1, date(2026, 1, 2)), (2, date(2026, 1, 2))], "k int, date date")
-    assert rows(merge.new_rows(target, source, ["k", "date"], "date")) == [(2, date(2026, 1, 2))]
+    assert rows(merge.new_rows(
+        target, source, ["k", "date"], ("date", merge.values_of(source, "date")))) == [(2, date(2026, 1, 2))]
 
 
 def test_upsert(spark):

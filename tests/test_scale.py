@@ -96,18 +96,23 @@ def test_vocabulary_is_broadcast_only_when_small(spark, vocabularies, monkeypatc
 
 
 def test_a_merge_reads_only_the_partitions_it_touches(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path))
+    store = TableStore(spark, str(tmp_path / "held"))
     load = store.begin()
-    load.write("t", spark.range(100).select("id", (F.col("id") % 5).alias("d")), APPEND,
-               partition_by="d")
+    load.write("t", spark.range(100).repartition(1).select("id", (F.col("id") % 50).alias("d")),
+               APPEND, partition_by="d")
     load.commit()
-    source = spark.range(90, 110).select("id", F.lit(0).cast("long").alias("d"))
-    fresh = merge.new_rows(store.read("t"), source, ["id", "d"], scope="d")
-    assert fresh.count() == 18
-    held = store.read("t").select("id", "d").join(
-        source.select("d").distinct(), "d", "left_semi")
-    assert "id" in held.columns
-    assert "ReadSchema: struct<id:bigint>" in plan(fresh)
+    spark.range(150).select("id", F.lit(7).cast("long").alias("d")).write.parquet(
+        str(tmp_path / "run"))
+    run = spark.read.parquet(str(tmp_path / "run"))
+    names = spark.createDataFrame([(i,) for i in range(60)], "id bigint")
+    for source, fresh in ((run, 148), (run.join(names, "id"), 58)):
+        found = merge.new_rows(store.read("t"), source, ["id", "d"],
+                               ("d", merge.values_of(source, "d")))
+        assert found.count() == fresh
+        held = store.read("t").where(F.col("d").isin(merge.values_of(source, "d")))
+        files = held.select(F.input_file_name()).distinct().count()
+        assert files == 1 and "PartitionFilters: [isnotnull(d" in plan(found)
+        assert "(d#" in plan(found) and " = 7)" in plan(found)
 
 
 def test_documents_are_read_for_the_fields_in_use_only(spark, tmp_path):
