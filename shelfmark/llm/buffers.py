@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
@@ -122,6 +123,23 @@ def load(blob: bytes) -> tuple[np.ndarray, ...]:
     return pickle.loads(blob)
 
 
+def planes(numbers: np.ndarray) -> tuple:
+    """Numbers by the places of their bytes; a plane that gets smaller is compressed."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    held = []
+    for plane in numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T:
+        plain = plane.tobytes()
+        small = squeeze(plain)
+        held.append((True, small) if len(small) < len(plain) else (False, plain))
+    return numbers.dtype.str, len(numbers), held
+
+
+def numbers_of(kind: str, n: int, held: list) -> np.ndarray:
+    expand = zstandard.ZstdDecompressor().decompress
+    rows = [np.frombuffer(expand(x) if small else x, np.uint8) for small, x in held]
+    return np.stack(rows, axis=1).reshape(-1).view(kind) if n else np.empty(0, kind)
+
+
 def slim(ids: np.ndarray) -> tuple[int, np.ndarray]:
     """Ids as a base and small offsets."""
     if not len(ids):
