@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Letters that fold to something other than one plain letter, and
-# the accented letters that fold one to one.
-MULTI_LETTER = {"ø": "o", "æ": "ae", "œ": "oe", "ß": "ss", "đ": "d", "ł": "l", "&": " and "}
-ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüýñçšž"
-PLAIN = "aaaaaaeeeeiiiiooooouuuuyncsz"
+# Letters that become one plain letter, and those that become several.
+ACCENTED = "áàâäãåéèêëíìîïóòôöõøúùûüýñçšžđł"
+PLAIN = "aaaaaaeeeeiiiioooooouuuuyncszdl"
+SPELLED_OUT = {"æ": "ae", "œ": "oe", "ß": "ss", "&": "and"}
 
 SEPARATOR = "\x01"
 
@@ -25,16 +26,16 @@ def upper_name(text: Column) -> Column:
 
 
 def fold(text: Column, *, keep: str = "") -> Column:
-    """The form two spellings of one name share: plain lower-case letters and digits.
+    """Lower-case letters and digits only, by which spellings of one name are equal.
 
-    This is the only folding there is. Vocabularies are folded with it as well
-    (see ``Vocabulary``), so a spelling and the data it should match cannot be
-    folded by two different rules. Characters in ``keep`` stay.
+    Data and vocabularies are both folded by this function. Characters in ``keep`` stay.
+    All letters that become one letter go in one pass; what is dropped is dropped before
+    the few others are looked for, in a text that is shorter by then.
     """
-    folded = F.lower(text)
-    for letter, plain in MULTI_LETTER.items():
-        folded = F.replace(folded, F.lit(letter), F.lit(plain))
-    return F.regexp_replace(F.translate(folded, ACCENTED, PLAIN), f"[^a-z0-9{keep}]+", "")
+    one_to_one = F.translate(F.lower(text), ACCENTED, PLAIN)
+    left = F.regexp_replace(one_to_one, f"[^a-z0-9{''.join(SPELLED_OUT)}{keep}]+", "")
+    return reduce(lambda column, pair: F.replace(column, *map(F.lit, pair)),
+                  SPELLED_OUT.items(), left)
 
 
 def fold_elements(values: Column) -> Column:

@@ -85,9 +85,18 @@ def test_one_of(spark, values, expected, stripped):
     assert one(spark, lambda c: fn.one_of(c, {}, "UNISEX"), values, "array<string>") is None
 
 
-def test_one_of_refuses_a_large_literal_map():
-    with pytest.raises(ValueError):
-        fn.one_of(F.lit(None), {str(i): "x" for i in range(100)}, "y")
+def test_one_of_takes_any_number_of_spellings(spark):
+    many = {f"s{i}": f"V{i % 7}" for i in range(500)}
+    for values, expected in ((["S 499"], "V2"), (["s3", "s10"], "V3"), (["s1", "s2"], "SEVERAL"),
+                             (["s500"], None)):
+        assert one(spark, lambda c: fn.one_of(c, many, "SEVERAL"), values,
+                   "array<string>") == expected
+
+
+def test_fold_of_every_special_letter(spark):
+    text = "Ø Æ œ ß đ Ł & ÁÀÂÄÃÅ ÉÈÊË ÍÌÎÏ ÓÒÔÖÕ ÚÙÛÜ Ý Ñ Ç Š Ž 9-_[]^\\"
+    assert one(spark, fn.fold, text, "string") == (
+        "oaeoessdlandaaaaaaeeeeiiiiooooouuuuyncsz9")
 
 
 def test_merge_arrays(spark):
