@@ -15,6 +15,8 @@ pass; links are reported up to connectivity.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,6 +29,7 @@ from shelfmark.llm.components import components
 from shelfmark.llm.compression import words
 
 WORDS = 3
+PERCENT = 90                # similarity from which two sets are linked
 SKETCH = 20                 # log2 of the slots that count shingles; a fixed size
 RANGES = 64                 # rows in which slot counts are summed
 SHARED = 3                  # prefix shingles that a pair has to share
@@ -38,10 +41,39 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
+@dataclass(frozen=True)
+class Rule:
+    """When two sets of shingles of so many words are linked, and what follows from it."""
+
+    words: int = WORDS
+    percent: int = PERCENT
+
+    def __post_init__(self):
+        # Sets that are linked without being equal then have SHARED shingles in common.
+        if self.words < 1 or not 75 <= self.percent < 100:
+            raise ValueError("shingles have a word or more, similarities are 75 to 99 percent")
+
+    def linked(self, shared, n, m):
+        return 100 * shared >= self.percent * (n + m - shared)
+
+    def fits(self, n, m):
+        """Whether sets of n and m can be linked."""
+        return (100 * m >= self.percent * n) & (100 * n >= self.percent * m)
+
+    def least_overlap(self, n):
+        """Shingles that a set of n shares at least with any set it is linked to."""
+        return -(-self.percent * n // 100)
+
+    @property
+    def least_size(self) -> int:
+        """Smaller sets are linked to equal ones only."""
+        return -(-self.percent // (100 - self.percent))
+
+
+def shingle_sets(texts: list[bytes], size: int = WORDS) -> list[np.ndarray]:
     """The distinct shingles of each text as sorted 64-bit hashes.
 
-    Fewer than three words make one shingle of all of them; no word, none.
+    Fewer words than ``size`` make one shingle of all of them; no word, none.
     """
     sizes = np.array([len(t) + 1 for t in texts])
     data = LOWER[np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)]
@@ -50,47 +82,41 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
         return [np.empty(0, U)] * len(texts)
     word = span_hashes(data, start, end)
     bound = np.searchsorted(start, np.concatenate([[0], np.cumsum(sizes)]))
-    three = np.empty(0, U)
-    if len(word) >= WORDS:
-        three = mix(word[:-2] * U(0x9E3779B97F4A7C15) + word[1:-1] * U(0xC2B2AE3D27D4EB4F)
-                    + word[2:] * U(0x165667B19E3779F9))
+    gram = np.zeros(max(0, len(word) - size + 1), U)
+    for i in range(size):
+        gram = gram * U(0x9E3779B97F4A7C15) + word[i:len(gram) + i]
+    gram = mix(gram)
     found = []
     for low, high in zip(bound[:-1].tolist(), bound[1:].tolist(), strict=True):
-        if high - low >= WORDS:
-            held = np.sort(three[low:high - WORDS + 1])
+        if high - low >= size:
+            held = np.sort(gram[low:high - size + 1])
             found.append(held[np.concatenate([[True], held[1:] != held[:-1]])])
         elif high > low:
-            one = word[low:low + 1] if high - low == 1 else mix(
-                word[low:low + 1] + word[low + 1:high] * U(0x27D4EB2F165667C5))
+            one = word[low:low + 1]
+            for i in range(low + 1, high):
+                one = mix(one + word[i:i + 1] * U(0x27D4EB2F165667C5))
             found.append(mix(one ^ U(high - low)))
         else:
             found.append(np.empty(0, U))
     return found
 
 
-def least_overlap(n):
-    """Shingles that a set of n shares at least with any set it is linked to."""
-    return -(-9 * n // 10)
-
-
-def linked(shared, n, m):
-    return 100 * shared >= 90 * (n + m - shared)
-
-
 # --- counts of shingles ----------------------------------------------------------------
 
-def _count(batches):
-    counts = np.zeros(1 << SKETCH, np.int64)
-    for batch in batches:
-        texts = byte_column(batch.column(0))
-        for low, high in grouped(texts):
-            held = concat(shingle_sets(texts[low:high]), U)
-            counts += np.bincount((held >> U(64 - SKETCH)).astype(np.int64),
-                                  minlength=1 << SKETCH)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(range(RANGES)), pa.array([dump(_narrow(part))
-                                            for part in np.split(counts, RANGES)], pa.binary())],
-        ["slots", "blob"])
+def _count(size: int):
+    def run(batches):
+        counts = np.zeros(1 << SKETCH, np.int64)
+        for batch in batches:
+            texts = byte_column(batch.column(0))
+            for low, high in grouped(texts):
+                held = concat(shingle_sets(texts[low:high], size), U)
+                counts += np.bincount((held >> U(64 - SKETCH)).astype(np.int64),
+                                      minlength=1 << SKETCH)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(RANGES)),
+             pa.array([dump(_narrow(part)) for part in np.split(counts, RANGES)], pa.binary())],
+            ["slots", "blob"])
+    return run
 
 
 def _narrow(counts):
@@ -111,13 +137,13 @@ def _sum_counts(batches):
             ["slots", "blob"])
 
 
-def shingle_levels(texts: DataFrame) -> np.ndarray:
+def shingle_levels(texts: DataFrame, size: int = WORDS) -> np.ndarray:
     """The order of magnitude of each slot's count over all documents.
 
     A table of fixed size, not of shingles: slots are shared. Any order of shingles gives
     right results; this one puts shingles of hot passages last.
     """
-    rows = (texts.mapInArrow(_count, "slots bigint, blob binary").repartition(16, "slots")
+    rows = (texts.mapInArrow(_count(size), "slots bigint, blob binary").repartition(16, "slots")
             .mapInArrow(_sum_counts, "slots bigint, blob binary").collect())
     counts = np.zeros((RANGES, (1 << SKETCH) // RANGES), np.int64)
     for row in rows:
@@ -127,24 +153,24 @@ def shingle_levels(texts: DataFrame) -> np.ndarray:
 
 # --- signatures and the matrix ---------------------------------------------------------
 
-def signature(held: np.ndarray, level: np.ndarray):
+def signature(held: np.ndarray, level: np.ndarray, rule: Rule):
     """Two digests of a set and its prefix."""
     first = int(mix(held).sum(dtype=U)) if len(held) else 0
     second = int(mix(held ^ U(0x5851F42D4C957F2D)).sum(dtype=U)) if len(held) else 0
     n = len(held)
-    size = n - least_overlap(n) + min(SHARED, n)
+    size = n - rule.least_overlap(n) + min(SHARED, n)
     order = np.argsort(level[(held >> U(64 - SKETCH)).astype(np.int64)], kind="stable")
     return first, second, held[order[:size]]
 
 
-def _signatures(levels):
+def _signatures(levels, rule: Rule):
     def run(batches):
         level = levels.value
         for batch in batches:
             texts = byte_column(batch.column(1))
             for low, high in grouped(texts):
-                sets = shingle_sets(texts[low:high])
-                told = [signature(s, level) for s in sets]
+                sets = shingle_sets(texts[low:high], rule.words)
+                told = [signature(s, level, rule) for s in sets]
                 signed = [pa.array(np.array([t[i] for t in told], U).view(np.int64))
                           for i in range(2)]
                 yield pa.RecordBatch.from_arrays(
@@ -238,17 +264,17 @@ def _groups(buckets: int):
     return run
 
 
-def _matrix(parts: int):
+def _matrix(parts: int, rule: Rule):
     """How many shingles each document shares with each group's union, bucket by bucket."""
     def run(batches):
         for token, doc, n, group in _gathered(batches):
             order = np.lexsort((group, token))
-            yield from _bounds(parts, token[order], doc[order], n[order].astype(np.int64),
+            yield from _bounds(parts, rule, token[order], doc[order], n[order].astype(np.int64),
                                group[order])
     return run
 
 
-def _bounds(parts, token, doc, n, grp):
+def _bounds(parts, rule, token, doc, n, grp):
     fresh = np.r_[True, token[1:] != token[:-1]]
     of_token = np.cumsum(fresh) - 1
     row = np.flatnonzero(fresh | np.r_[True, grp[1:] != grp[:-1]])      # of the matrix
@@ -265,8 +291,8 @@ def _bounds(parts, token, doc, n, grp):
         opened = np.repeat(begin[at:end] - (np.cumsum(w) - w), w) + np.arange(w.sum())
         of = grp[row[opened]]
         own = of == grp[query]
-        fits = own | ((of < grp[query]) & (10 * high[opened] >= 9 * n[query])
-                      & (10 * n[query] >= 9 * low[opened]))
+        fits = own | ((of < grp[query]) & (100 * high[opened] >= rule.percent * n[query])
+                      & (100 * n[query] >= rule.percent * low[opened]))
         # Its own shingle bounds a document's overlap only with others of its group.
         counts = np.where(own & (members[opened] == 1), 0, 1)
         found.append((doc[query[fits]], of[fits], n[query[fits]], grp[query[fits]],
@@ -345,22 +371,24 @@ def _routes(opened: DataFrame) -> DataFrame:
                                F.col("at").alias("q"))), False)))
 
 
-def _sets_for_units(batches):
-    for batch in batches:
-        texts = byte_column(batch.column(1))
-        ids, routes = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-        for low, high in grouped(texts):
-            rows = []
-            for i, route, held in zip(ids[low:high], routes[low:high],
-                                      shingle_sets(texts[low:high]), strict=True):
-                rows += [(*r["unit"].values(), r["member"], i, held.tobytes()) for r in route]
-            columns = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                 pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int64()),
-                 pa.array(columns[4], pa.bool_()), pa.array(columns[5], pa.int64()),
-                 pa.array(columns[6], pa.binary())],
-                ["grp", "m", "form", "q", "member", "id", "held"])
+def _sets_for_units(size: int):
+    def run(batches):
+        for batch in batches:
+            texts = byte_column(batch.column(1))
+            ids, routes = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for low, high in grouped(texts):
+                rows = []
+                for i, route, held in zip(ids[low:high], routes[low:high],
+                                          shingle_sets(texts[low:high], size), strict=True):
+                    rows += [(*r["unit"].values(), r["member"], i, held.tobytes()) for r in route]
+                columns = list(zip(*rows, strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
+                     pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int64()),
+                     pa.array(columns[4], pa.bool_()), pa.array(columns[5], pa.int64()),
+                     pa.array(columns[6], pa.binary())],
+                    ["grp", "m", "form", "q", "member", "id", "held"])
+    return run
 
 
 class Block:
@@ -383,7 +411,7 @@ class Block:
         return np.add.reduceat(there[self.token[place]], first) if len(rows) else size
 
 
-def links_within(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+def links_within(sets: list[np.ndarray], rule: Rule) -> list[tuple[int, int]]:
     """A spanning forest of the links among some sets, none empty."""
     block, found = Block(sets), []
     waiting = np.ones(len(sets), bool)
@@ -393,23 +421,22 @@ def links_within(sets: list[np.ndarray]) -> list[tuple[int, int]]:
         while front:
             i = front.pop()
             n = block.size[i]
-            rows = np.flatnonzero(waiting & (10 * block.size >= 9 * n)
-                                  & (10 * n >= 9 * block.size))
-            near = rows[linked(block.overlaps(sets[i], rows), n, block.size[rows])]
+            rows = np.flatnonzero(waiting & rule.fits(n, block.size))
+            near = rows[rule.linked(block.overlaps(sets[i], rows), n, block.size[rows])]
             found += [(i, int(j)) for j in near]
             waiting[near] = False
             front += near.tolist()
     return found
 
 
-def links_between(members: list[np.ndarray], queries: list[np.ndarray]):
+def links_between(members: list[np.ndarray], queries: list[np.ndarray], rule: Rule):
     """Links (query, member) that connect what no earlier one has connected."""
     block, found = Block(members), []
     root = np.arange(len(members))
     for i, held in enumerate(queries):
         n = len(held)
-        rows = np.flatnonzero((10 * block.size >= 9 * n) & (10 * n >= 9 * block.size))
-        near = rows[linked(block.overlaps(held, rows), n, block.size[rows])]
+        rows = np.flatnonzero(rule.fits(n, block.size))
+        near = rows[rule.linked(block.overlaps(held, rows), n, block.size[rows])]
         _, first = np.unique(root[near], return_index=True)
         found += [(i, int(j)) for j in near[first]]
         if len(first) > 1:
@@ -418,33 +445,35 @@ def links_between(members: list[np.ndarray], queries: list[np.ndarray]):
     return found
 
 
-def _open_unit(table: pa.Table) -> pa.Table:
-    form = table.column("form")[0].as_py()
-    ids = np.array(table.column("id").to_pylist(), np.int64)
-    member = np.array(table.column("member").to_pylist(), bool)
-    sets = [np.frombuffer(h, U) for h in table.column("held").to_pylist()]
-    inside, outside = np.flatnonzero(member), np.flatnonzero(~member)
-    if form == 0:
-        pairs = [(inside[i], inside[j])
-                 for i, j in links_within([sets[k] for k in inside])]
-    elif len(inside) and len(outside):
-        pairs = [(outside[i], inside[j]) for i, j in links_between(
-            [sets[k] for k in inside], [sets[k] for k in outside])]
-    else:
-        pairs = []
-    a = ids[[p[0] for p in pairs]] if pairs else np.empty(0, np.int64)
-    b = ids[[p[1] for p in pairs]] if pairs else np.empty(0, np.int64)
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+def _open_unit(rule: Rule):
+    def run(table: pa.Table) -> pa.Table:
+        form = table.column("form")[0].as_py()
+        ids = np.array(table.column("id").to_pylist(), np.int64)
+        member = np.array(table.column("member").to_pylist(), bool)
+        sets = [np.frombuffer(h, U) for h in table.column("held").to_pylist()]
+        inside, outside = np.flatnonzero(member), np.flatnonzero(~member)
+        if form == 0:
+            pairs = [(inside[i], inside[j])
+                     for i, j in links_within([sets[k] for k in inside], rule)]
+        elif len(inside) and len(outside):
+            pairs = [(outside[i], inside[j]) for i, j in links_between(
+                [sets[k] for k in inside], [sets[k] for k in outside], rule)]
+        else:
+            pairs = []
+        a = ids[[p[0] for p in pairs]] if pairs else np.empty(0, np.int64)
+        b = ids[[p[1] for p in pairs]] if pairs else np.empty(0, np.int64)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return run
 
 
 # --- the operator ----------------------------------------------------------------------
 
 def jaccard_classes(docs: DataFrame, id_column: str = "doc_id",
-                    text_column: str = "text") -> DataFrame:
+                    text_column: str = "text", rule: Rule = Rule()) -> DataFrame:
     """``id``, ``n_shingles`` and ``component_id`` of every row.
 
-    Two documents are linked if their sets of 3-word shingles (words as runs of other than
-    white space, A-Z lower-cased) have a Jaccard similarity of 0.9 or more. A component's id
+    Two documents are linked if their sets of shingles (words as runs of other than white
+    space, A-Z lower-cased) have the Jaccard similarity of the rule or more. A component's id
     is its smallest document. Null, empty and blank texts have no shingles and no links.
     Rows of the same id are one document with the links of all of them; rows without an id
     have no component.
@@ -453,9 +482,9 @@ def jaccard_classes(docs: DataFrame, id_column: str = "doc_id",
     texts = docs.select(F.col(id_column).cast("bigint").alias("id"),
                         F.col(text_column).cast("binary").alias("text"))
     buckets = folders.parts_for(folders.total_bytes(texts, "text"), BUCKET_BYTES)
-    levels = spark.sparkContext.broadcast(shingle_levels(texts.select("text")))
+    levels = spark.sparkContext.broadcast(shingle_levels(texts.select("text"), rule.words))
     signed = folders.written(texts.mapInArrow(
-        _signatures(levels), "id bigint, n bigint, first bigint, second bigint, "
+        _signatures(levels, rule), "id bigint, n bigint, first bigint, second bigint, "
                              "prefix binary"), "signatures")
 
     known = signed.where("n > 0 AND id IS NOT NULL")
@@ -464,14 +493,13 @@ def jaccard_classes(docs: DataFrame, id_column: str = "doc_id",
         .where("k > 1").drop("k"), "classes"))
     classed = known.join(several, ["first", "second"], "left")
     copies = classed.where("rep <> id").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    # Sets of up to eight shingles are linked to equal ones only.
-    reps = classed.where("n > 8 AND (rep IS NULL OR rep = id)").select("id", "n", "prefix")
+    reps = classed.where(f"n >= {rule.least_size} AND (rep IS NULL OR rep = id)").select("id", "n", "prefix")
     by_token, by_document = "bucket bigint, blob binary", "part bigint, blob binary"
     opened = folders.written(
         reps.mapInArrow(_postings(buckets), by_token).repartition(buckets, "bucket")
         .mapInArrow(_shared(buckets), by_document).repartition(buckets, "part")
         .mapInArrow(_groups(buckets), by_token).repartition(buckets, "bucket")
-        .mapInArrow(_matrix(buckets), by_document).repartition(buckets, "part")
+        .mapInArrow(_matrix(buckets, rule), by_document).repartition(buckets, "part")
         .mapInArrow(_opened, "id bigint, n bigint, own bigint, grp bigint, shared bigint"),
         "opened")
     routes = folders.small_enough(folders.written(
@@ -479,9 +507,9 @@ def jaccard_classes(docs: DataFrame, id_column: str = "doc_id",
             F.collect_list(F.struct("unit", "member")).alias("routes")), "routes"))
     links = (
         texts.join(routes, "id").select("id", "text", "routes")
-        .mapInArrow(_sets_for_units, "grp bigint, m bigint, form int, q bigint, "
+        .mapInArrow(_sets_for_units(rule.words), "grp bigint, m bigint, form int, q bigint, "
                                      "member boolean, id bigint, held binary")
-        .groupBy("grp", "m", "form", "q").applyInArrow(_open_unit, "a bigint, b bigint"))
+        .groupBy("grp", "m", "form", "q").applyInArrow(_open_unit(rule), "a bigint, b bigint"))
     told = folders.small_enough(folders.written(
         components(copies.unionByName(links)), "components"))
     return signed.join(told, signed["id"] == told["node"], "left").select(
@@ -494,12 +522,12 @@ def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
     return jaccard_classes(docs.select("doc_id", "text"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """Of each component the document with the smallest id, in the same columns.
 
     Rows that repeat an id all stay if it is that id; rows without an id stay.
     """
-    gone = jaccard_classes(docs).where("component_id < doc_id").select("doc_id").distinct()
+    gone = jaccard_classes(docs, rule=rule).where("component_id < doc_id").select("doc_id").distinct()
     gone = folders.small_enough(folders.written(gone, "near-copies"))
     return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`")
                                                            for c in docs.columns])

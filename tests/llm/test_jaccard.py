@@ -82,3 +82,30 @@ def test_components_of_paths_and_cycles(spark):
     frame = spark.createDataFrame(edges, "a bigint, b bigint")
     got = dict(map(tuple, components(frame).collect()))
     assert got == {**dict.fromkeys(range(1, 41), 1), 100: 100, 101: 100, 102: 100}
+
+
+def brute_near(rows, size, percent):
+    sets = []
+    for i, t in rows:
+        w = (t or "").lower().split()
+        sets.append((i, {tuple(w[k:k + size]) for k in range(len(w) - size + 1)}
+                     if len(w) >= size else {tuple(w)} if w else set()))
+    group = {i: i for i, _ in sets}
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if a and b and 100 * len(a & b) >= percent * len(a | b) and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = {x: low if g == high else g for x, g in group.items()}
+    return sorted((i, len(s), group[i]) for i, s in sets)
+
+
+@pytest.mark.parametrize(("words", "percent"), [(5, 80), (4, 75), (1, 90)])
+def test_other_rules_against_all_pairs(spark, monkeypatch, words, percent):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 900)
+    monkeypatch.setattr(jaccard, "BUCKET_BYTES", 9000)
+    rows = [(i, t.replace("É", "é") if t else t) for i, t in dict(corpus(7)).items()]
+    rows += [(9100 + k, " ".join(f"short{j}" for j in range(k))) for k in range(3, 13)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted(map(tuple, jaccard.jaccard_classes(
+        frame, rule=jaccard.Rule(words, percent)).collect()))
+    assert got == brute_near(rows, words, percent)
