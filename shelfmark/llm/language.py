@@ -19,6 +19,7 @@ from shelfmark.llm.buffers import byte_column
 WIDTH = 512             # components of a vector
 SYMBOLS = 64            # 0: anything but a letter; 1-26: a-z; the rest shared by other letters
 UNKNOWN = "und"
+TELLING = 64            # trigrams from which a low cosine tells anything
 UNIT = 1 << 20          # prototypes are summed in whole numbers, in any order alike
 
 _tables: dict[str, np.ndarray] = {}
@@ -161,11 +162,22 @@ def language_id(docs: DataFrame) -> DataFrame:
                     model).select("doc_id", "held_out", "lang_pred", "score")
 
 
-def accepted(docs: DataFrame, least: float = 0.1) -> DataFrame:
-    """Documents whose language is told with a cosine of ``least`` or more."""
+def accepted(docs: DataFrame, least: float = 0.1, telling: int = TELLING) -> DataFrame:
+    """Documents with letters, but for texts that are like none of the languages.
+
+    The cosine of a text falls with its length whatever its language, and the components add
+    noise of ``WIDTH ** -0.5``. One below ``least`` counts only from ``telling`` trigrams on;
+    shorter texts stay.
+    """
+    @F.pandas_udf("boolean")
+    def long_enough(texts: pd.Series) -> pd.Series:
+        return pd.Series([text is not None and int(trigrams(text)[1].sum()) >= telling
+                          for text in texts], dtype=bool)
+
     columns = [F.col(f"`{c}`") for c in docs.columns]
     whole = docs.select("doc_id", "text", F.struct(*columns).alias("whole"))
     model = learn(docs.where(~held_out()).select("text", "lang"))
-    told = identify(whole, model).where(
-        (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return told.select("whole.*")
+    told = identify(whole, model).where(F.col("lang_pred") != UNKNOWN)
+    low = F.col("score") < least
+    return told.where(~low | ~long_enough(
+        F.when(low, F.col("text").cast("binary")))).select("whole.*")

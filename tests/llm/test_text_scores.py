@@ -124,3 +124,18 @@ def test_lasso_is_sparse_and_rules_agree_with_their_columns(spark):
     own = model.base + sum(w * rule.of(rows) for w, rule in model.rules)
     assert got == pytest.approx(1 / (1 + np.exp(-own)))
     assert ((got >= 0.5) == labels).mean() > 0.95
+
+
+def test_short_clean_documents_are_accepted(spark):
+    r = random.Random(12)
+    rows = [(i, " ".join(r.choice("the house and river of mountains with songs walking to the".split())
+                         for _ in range(80)), "en") for i in range(40)]
+    short = [(100, "A.", "en"), (101, "Avec.", "fr"), (102, "A.\nZephyr quiz.", "en"), (103, "Erö.", "de"),
+             (104, "Qvxj kzw.", None)]
+    other = "".join(chr(0x4E00 + r.randrange(9000)) + " " * (k % 5 == 0) for k in range(400))
+    docs = spark.createDataFrame([*rows, *short, (200, "12 3!", None), (201, None, None)],
+                                 "doc_id bigint, text string, lang string")
+    kept = {x.doc_id for x in language.accepted(docs).collect()}
+    assert kept == {*range(40), 100, 101, 102, 103, 104}
+    strict = docs.union(spark.createDataFrame([(300, other, None)], docs.schema))
+    assert 300 not in {x.doc_id for x in language.accepted(strict, least=0.3).collect()}
