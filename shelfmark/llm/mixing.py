@@ -17,6 +17,7 @@ from shelfmark.llm import folders
 MARGINS = ("source", "lang", "topic")
 TEMPER = 0.9            # targets are shares to this power, unless they are given
 ROUNDS = 8
+BUDGET = 0.9            # tokens that a budgeted sample is expected to have, of those given
 SEED = "mix-1"
 
 
@@ -96,6 +97,68 @@ def probabilities(docs: DataFrame, targets=None, temper: float = TEMPER,
         F.round(F.col("ratio") / F.lit(most), 6).alias("probability"))
 
 
+def budgeted(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None,
+             temper: float = TEMPER, rounds: int = ROUNDS, budget: float = BUDGET) -> DataFrame:
+    """``cells`` with ``fitted``: masses near the targets, none above its own, ``budget`` of all.
+
+    Cells whose goal is more than they have are whole, and the others of their margins are
+    raked to what is left of the goals. A cell thus never scales down more than what its own
+    few tokens leave to others. What the margins leave of the budget goes to the cells that
+    are not whole yet, in proportion; cells of weight zero get none.
+    """
+    fitted = raked(cells, targets, temper, rounds)
+    total = fitted.agg(F.sum("mass")).first()[0] or 0.0
+    wanted = budget * total
+    of = {m: Window.partitionBy(m) for m in MARGINS}
+    # The goals of a margin are what raking has made of it, scaled to the budget.
+    fitted = fitted.withColumn("fitted", F.col("fitted") * F.lit(budget))
+    for m in MARGINS:
+        fitted = fitted.withColumn(f"goal_{m}", F.sum("fitted").over(of[m]))
+    whole = F.col("fitted") >= F.col("mass")
+    capped = F.least("fitted", "mass")
+    fitted = fitted.withColumn("fitted", capped)
+    for n in range(rounds):
+        for m in MARGINS:
+            taken = F.sum(F.when(whole, F.col("mass")).otherwise(0.0)).over(of[m])
+            free = F.sum(F.when(whole, 0.0).otherwise(F.col("fitted"))).over(of[m])
+            left = F.greatest(F.lit(0.0), F.col(f"goal_{m}") - taken)
+            fitted = fitted.withColumn("fitted", F.when(
+                whole | (free <= 0), F.col("fitted")).otherwise(
+                F.least(F.col("mass"), F.col("fitted") * left / free)))
+        if n % 2:
+            fitted = folders.written(fitted, "budgeted")
+    fitted = folders.written(fitted.select(*MARGINS, "mass", "fitted"), "budgeted")
+    # The one scale at which the expected tokens are the budget; each step fills a cell more.
+    scale, full = 1.0, -1
+    while True:
+        reached = F.col("fitted") * F.lit(scale) >= F.col("mass")
+        held = fitted.agg(
+            F.sum(F.when(reached, F.col("mass")).otherwise(0.0)).alias("whole"),
+            F.sum(F.when(reached, 0.0).otherwise(F.col("fitted"))).alias("free"),
+            F.count(F.when(reached, 1)).alias("full")).first()
+        now = (held["whole"] or 0.0) + (held["free"] or 0.0) * scale
+        if full < 0 and now > wanted:
+            scale = wanted / now
+            break
+        if not held["free"] or held["full"] == full:
+            break
+        full, scale = held["full"], (wanted - held["whole"]) / held["free"]
+    return fitted.withColumn("fitted", F.least(F.col("mass"), F.col("fitted") * F.lit(scale)))
+
+
+def budgeted_probabilities(docs: DataFrame, targets=None, temper: float = TEMPER,
+                           rounds: int = ROUNDS, budget: float = BUDGET) -> DataFrame:
+    """``docs`` (with margins and ``n_tokens``) and the ``probability`` of each row."""
+    cells = docs.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("mass"))
+    ratio = folders.written(
+        budgeted(cells, targets, temper, rounds, budget).select(
+            *[F.col(m).alias(f"of_{m}") for m in MARGINS],
+            F.least(F.lit(1.0), F.col("fitted") / F.col("mass")).alias("ratio")), "ratios")
+    same = [docs[m].eqNullSafe(F.col(f"of_{m}")) for m in MARGINS]
+    return docs.join(folders.small_enough(ratio, 100_000), same).select(
+        *[docs[c] for c in docs.columns], F.round("ratio", 6).alias("probability"))
+
+
 def described(docs: DataFrame) -> DataFrame:
     """Id, margins and tokens of every document, and all its columns as ``whole``."""
     return docs.select(
@@ -114,8 +177,8 @@ def mixing(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The documents drawn, in the same columns."""
-    told = probabilities(described(docs))
+    """The documents drawn within the budget, in the same columns."""
+    told = budgeted_probabilities(described(docs))
     return told.where(drawn("id", SEED) < F.col("probability")).select("whole.*")
 
 

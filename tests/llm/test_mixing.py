@@ -51,3 +51,29 @@ def test_against_sql(spark):
 
     n, problems = oracle.compare(spark, oracle.connect(FOLDER), FOLDER, "op4", Registered)
     assert n and problems == []
+
+
+def test_a_stray_row_does_not_scale_down_the_rest(spark):
+    rows = [(i, "word " * 100, f"s{i % 3}" if i % 7 else "s0", "en" if i % 5 else "fr")
+            for i in range(300)]
+    schema = "doc_id bigint, text string, source string, lang string"
+    expected = []
+    for extra in ([], [(999, "x" * 40, "stray", None)]):
+        docs = mixing.described(spark.createDataFrame(rows + extra, schema))
+        got = mixing.budgeted_probabilities(docs).collect()
+        assert len(got) == len(rows + extra) and all(r.probability <= 1 for r in got)
+        tokens = sum(r.n_tokens for r in got)
+        assert sum(r.n_tokens * r.probability for r in got) == pytest.approx(
+            mixing.BUDGET * tokens, rel=1e-4)
+        expected.append({r.id: r.probability for r in got if r.id != 999})
+    assert expected[1] == pytest.approx(expected[0], abs=0.01)
+    assert {r.probability for r in got if r.id == 999} == {1.0}
+
+
+def test_short_cells_stay_whole_and_others_meet_their_goals(spark):
+    cells = spark.createDataFrame(
+        [("a", "x", "p", 10.0), ("b", "x", "p", 500.0), ("c", "x", "p", 490.0)],
+        "source string, lang string, topic string, mass double")
+    got = {r.source: r.fitted for r in mixing.budgeted(
+        cells, {"source": {"a": 2, "b": 1, "c": 1}}, budget=0.5).collect()}
+    assert got == pytest.approx({"a": 10.0, "b": 245.0, "c": 245.0})
