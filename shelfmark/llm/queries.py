@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import (alignment, bpe, chaining, chosen_path, compression, hamming_index,
-                           jaccard, language, mixing, rule_ensemble, suffix_dedup, warc)
+from shelfmark.llm import (alignment, bpe, chaining, chosen_path, collocations, compression,
+                           hamming_index, jaccard, language, mixing, rule_ensemble,
+                           suffix_dedup, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,7 @@ QUERIES: dict[str, Query] = {
     "op9_compression_bands": _over("documents", compression.compression_bands),
     "op10_multi_index_hashing": _over("embeddings", hamming_index.multi_index_hashing),
     "op11_chosen_path": _over("documents", chosen_path.chosen_path),
+    "op12_suffix_quicksort": _over("documents", collocations.collocations),
     "op13_pair_bitmaps": _over("documents", alignment.cross_tokenizer_alignment),
 }
 
@@ -46,4 +48,5 @@ SELECT page_id, payload_bytes, payload_digest,
     AS record_type,
   CASE WHEN payload_bytes >= 1000 AND first > page_id THEN first END AS refers_to
 FROM told""",
+    "op12_suffix_quicksort": collocations.collocations_sql(),
 }
