@@ -36,8 +36,8 @@ from shelfmark.llm.jaccard import shingle_sets
 
 POOL = 128                   # minwise tokens of a document, each gives one bit of its sketch
 BRANCHES = 2                 # places that a node chooses
-LEAF = 1024                  # members up to which a node is compared exhaustively
-DEPTH = 10                   # levels of branching
+LEAF = 8192                  # members up to which a node is compared exhaustively
+DEPTH = 6                    # levels of branching
 FAMILY_SHINGLES = 2_000_000  # shingles up to which a family is confirmed in one task
 BLOCK_SHINGLES = 1_000_000   # shingles of a block of a larger family
 FEW = 200_000                # rows of at most 40 bytes that may be broadcast
@@ -198,25 +198,30 @@ def _leaves(rule: Rule):
 
 def _level(members: DataFrame, rule: Rule, deepest: bool) -> tuple[list[DataFrame], DataFrame]:
     """Candidate links of the small nodes of a level and of pivots; what is left to branch."""
-    one = F.struct(F.xxhash64("node", "id").alias("order"), "id", "n", "low", "high", "label")
     sizes = folders.written(members.groupBy("node").agg(
-        F.count("*").alias("size"), F.min(one).alias("pivot"), F.max(one).alias("last"),
-        F.min("label").alias("least"), F.max("label").alias("most"))
+        F.count("*").alias("size"), F.min("label").alias("least"), F.max("label").alias("most"),
+        F.min("id").alias("a"), F.max("id").alias("b"), F.min("n").alias("n"),
+        F.max("n").alias("m"), F.bit_xor("low").alias("low"), F.bit_xor("high").alias("high"))
         .where("least <> most"), "nodes")
-    pairs = sizes.where("size = 2").where(_near("pivot", "last", rule)).select(
-        F.col("pivot.id").alias("a"), F.col("last.id").alias("b"))
+    # Of two members, the exclusive or of all sketches has the bits in which they differ.
+    differ = F.bit_count("low") + F.bit_count("high")
+    pairs = sizes.where("size = 2 AND a <> b").where(
+        rule.fits(F.col("n"), F.col("m")) & (differ <= rule.most_bits)).select("a", "b")
     small = sizes.where(f"size BETWEEN 3 AND {LEAF}").select("node")
     leaves = members.join(small, "node").groupBy("node").agg(
         F.collect_list(F.struct("id", "n", "low", "high", "label")).alias("held")) \
         .select("held").mapInArrow(_leaves(rule), "a bigint, b bigint")
-    large = sizes.where(f"size > {LEAF}")
+    large = sizes.where(f"size > {LEAF}").select("node", "size")
     if large.isEmpty():
         return [pairs, leaves], None
     if deepest:
         return [pairs, leaves, _blocks(members, large, rule)], None
+    inside = members.join(large, "node")
+    pivots = inside.groupBy("node").agg(F.min(F.struct(
+        F.xxhash64("node", "id").alias("order"), "id", "n", "low", "high", "label"))
+        .alias("pivot"))
     told = folders.written(
-        members.withColumn("own", F.struct("id", "n", "low", "high")).join(
-            large.select("node", "pivot"), "node")
+        inside.withColumn("own", F.struct("id", "n", "low", "high")).join(pivots, "node")
         .withColumn("near", _near("own", "pivot", rule))
         .select("node", "id", "n", "low", "high",
                 F.when(F.col("near"), F.col("pivot.label")).otherwise(F.col("label"))

@@ -57,7 +57,7 @@ def corpus(seed):
                    (9006, "a b"), (9007, "A  B"), (9008, "w" * 70000 + " x y z u v")]
 
 
-@pytest.mark.parametrize(("leaf", "depth", "family"), [(1024, 10, 2_000_000), (5, 3, 4000),
+@pytest.mark.parametrize(("leaf", "depth", "family"), [(8192, 6, 2_000_000), (5, 3, 4000),
                                                        (3, 0, 900)])
 def test_against_all_pairs(spark, monkeypatch, leaf, depth, family):
     monkeypatch.setattr(cp, "LEAF", leaf)
