@@ -15,13 +15,13 @@ from ..operators import trace
 from ..operators.expressions import evaluated_once
 from ..quality import raw as checks
 from ..schemas import RAW_DOCUMENT
-from ..sources import raw
-from ..sources.raw import CORRUPT
+from ..session import cut_lineage
+from ..sources import pieces, raw
 from .checks import union_sql
 from .registry import query, spread_table, table
 
 STAMP = "2024-01-31T09:14:02Z"
-FILE_STAMP = "20240131T091402Z"
+FILE_STAMP, LATER_STAMP = "20240131T091402Z", "20240201T000000Z"
 
 
 def _every(n: int) -> Column:
@@ -85,9 +85,11 @@ def raw_documents(spark: SparkSession, folder: str, *wanted: str) -> DataFrame:
             F.when(length > 10, F.array(variant)).when(length == 10, F.slice(F.array(variant), 1, 0))
             .alias("variants"))
 
-    # Every seventh store lost the first body, every ninth has one no page delivered.
+    # Every seventh store lost the first body, every ninth has one no page delivered, every
+    # twenty-sixth has none at all.
     stored = F.when(_every(7), F.slice("words", 2, F.size("words"))).otherwise(F.col("words"))
     stored = F.when(_every(9), F.array_append(stored, F.lit("#extra"))).otherwise(stored)
+    stored = F.when(_every(26), F.slice(stored, 1, 0)).otherwise(stored)
     initials = F.array_sort(F.array_compact(F.transform("stored", lambda w: F.nullif(
         F.lower(F.substring(w, 1, 1)), F.lit("")))))
     paged = paged.withColumn("stored", stored).withColumn("initials", initials).withColumn(
@@ -122,7 +124,8 @@ def raw_documents(spark: SparkSession, folder: str, *wanted: str) -> DataFrame:
         "responses": responses, "products": products,
         "file": F.concat(
             F.when(_every(19), F.concat(F.lit("other-"), F.col("doc_id").cast("string")))
-            .otherwise(site), F.lit(f"-{FILE_STAMP}.json")),
+            .otherwise(site), F.lit("-"), F.when(_every(21), LATER_STAMP).otherwise(FILE_STAMP),
+            F.lit(".json")),
     }
     return evaluated_once(paged, *(
         column.alias(name) for name, column in fields.items() if not wanted or name in wanted))
@@ -153,24 +156,27 @@ firsts AS (
   SELECT * FROM delivered QUALIFY row_number() OVER (
     PARTITION BY doc_id, word ORDER BY seq, pos) = 1),
 stored AS (
-  SELECT doc_id, word FROM firsts WHERE NOT (doc_id % 7 = 0 AND seq = 0 AND pos = 0)
-  UNION ALL SELECT doc_id, '#extra' FROM documents WHERE doc_id % 9 = 0),
+  SELECT doc_id, word FROM firsts
+  WHERE NOT (doc_id % 7 = 0 AND seq = 0 AND pos = 0) AND doc_id % 26 <> 0
+  UNION ALL SELECT doc_id, '#extra' FROM documents WHERE doc_id % 9 = 0 AND doc_id % 26 <> 0),
 bodies AS (
   SELECT doc_id, word, CASE WHEN length(word) = 1 THEN 'x' || word
       WHEN length(word) <> 2 THEN word END AS body_id,
     nullif(lower(substr(word, 1, 1)), '') AS vendor FROM stored),
 counts AS (
-  SELECT doc_id, count(*) AS n_stored, count(*) FILTER (word <> coalesce(body_id, '?'))
-    AS n_foreign FROM bodies GROUP BY 1),
+  SELECT doc_id, count(*) AS held, count(*) FILTER (word <> coalesce(body_id, '?'))
+    AS foreign_ids FROM bodies GROUP BY 1),
 docs AS (
-  SELECT *, 'store-' || doc_id AS site,
+  SELECT *, coalesce(held, 0) AS n_stored, coalesce(foreign_ids, 0) AS n_foreign,
+    'store-' || doc_id AS site,
     CASE WHEN doc_id % 8 = 0 THEN 'yesterday' ELSE '2024-01-31T09:14:02Z' END AS scraped_at,
     CASE WHEN doc_id % 19 = 0 THEN 'other-' ELSE 'store-' END || doc_id
-      || '-20240131T091402Z.json' AS file,
-    n_stored + CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS claimed,
+      || CASE WHEN doc_id % 21 = 0 THEN '-20240201T000000Z' ELSE '-20240131T091402Z' END
+      || '.json' AS file,
+    coalesce(held, 0) + CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS claimed,
     short_pages + CASE WHEN doc_id % 4 = 0 THEN 2 ELSE 0 END AS claimed_short,
     n_chars % 4 <> 0 AS ended
-  FROM sizes JOIN counts USING (doc_id)),
+  FROM sizes LEFT JOIN counts USING (doc_id)),
 sound AS (SELECT * FROM docs WHERE doc_id % 17 <> 0)"""
 
 
@@ -192,12 +198,10 @@ def shred_documents(spark: SparkSession, folder: str) -> DataFrame:
 def shred_split_bodies(spark: SparkSession, folder: str) -> DataFrame:
     """The same out of indented texts, cut where a product closes."""
     documents = raw_documents(spark, folder, "file", "site", "scraped_at", "products")
-    text = F.to_json(F.struct("site", "scraped_at", "products"), {"pretty": "true"})
-    pieces = evaluated_once(documents, F.col("file").alias("file_path"), F.split(
-        text, "\n    \\}").alias("cut")).select("file_path", F.explode("cut").alias("value"))
-    heads = raw_documents(spark, folder, "file", "site", "scraped_at").withColumnRenamed(
-        "file", "file_path")
-    rows = raw.product_rows(raw.split_bodies(pieces, heads))
+    texts = documents.select(F.col("file").alias("file_path"), F.to_json(
+        F.struct("site", "scraped_at", "products"), {"pretty": "true"}).alias("text"))
+    marked = pieces.marked(pieces.cut_text(texts))
+    rows = raw.product_rows(raw.split_bodies(marked, pieces.summary(marked)))
     return rows.select("site", "scraped_at", "id", "title", "vendor", "product_type")
 
 
@@ -286,59 +290,202 @@ def _found_sql(level: str, check: str, rule: str, n: str = "1",
             f"({n})::BIGINT AS n, cast({sample} AS VARCHAR) AS sample FROM {rows} WHERE {rule}")
 
 
-@query(f"WITH {BASE} " + union_sql(
-    _found_sql("ERROR", "products_stored differs from what is held", "claimed <> n_stored",
-               sample="claimed || ' holds ' || n_stored"),
-    _found_sql("ERROR", "short_pages differs from what is held", "claimed_short <> short_pages",
-               sample="claimed_short || ' holds ' || short_pages"),
-    _found_sql("ERROR", "id on a page without a body", "doc_id % 7 = 0"),
-    _found_sql("ERROR", "body on no page", "doc_id % 9 = 0"),
-    _found_sql("ERROR", "body keyed by a foreign id", "n_foreign > 0", "n_foreign"),
-    _found_sql("ERROR", "complete contradicts the listings", "NOT ended"),
-    _found_sql("ERROR", "site is not the one in the file name", "doc_id % 19 = 0", sample="site"),
-    _found_sql("ERROR", "scraped_at is not a UTC stamp", "doc_id % 8 = 0", sample="scraped_at")))
+# What a document claims and what it holds, met anew by file and name.
+MET = """page_ids AS (SELECT DISTINCT doc_id, word FROM delivered),
+met AS (
+  SELECT doc_id, count(*) FILTER (s.word IS NULL) AS bodiless,
+    count(*) FILTER (p.word IS NULL) AS untraced
+  FROM page_ids p FULL JOIN stored s USING (doc_id, word) GROUP BY 1),
+tally AS (SELECT doc_id, vendor, count(*) AS n FROM bodies WHERE vendor IS NOT NULL GROUP BY ALL),
+off AS (
+  SELECT doc_id, count(*) AS off_vendors, min(vendor) AS off_vendor FROM (
+    SELECT doc_id, vendor FROM (
+      SELECT doc_id, vendor, n FROM tally
+      UNION ALL SELECT doc_id, vendor, -n FROM tally
+      UNION ALL SELECT doc_id, 'zz', -1 FROM documents WHERE doc_id % 6 = 0)
+    GROUP BY ALL HAVING sum(n) <> 0) GROUP BY 1),
+checked AS (
+  SELECT sound.*, n_pages AS claimed_pages, coalesce(bodiless, 0) AS bodiless,
+    coalesce(untraced, 0) AS untraced, coalesce(off_vendors, 0) AS off_vendors, off_vendor
+  FROM sound LEFT JOIN met USING (doc_id) LEFT JOIN off USING (doc_id))"""
+# The same of the texts that are not damaged, some of which have a null for their pages.
+MET_IN_TEXTS = MET.replace("n_pages AS", "CASE WHEN doc_id % 23 <> 0 THEN n_pages END AS").replace(
+    "LEFT JOIN off USING (doc_id))", "LEFT JOIN off USING (doc_id) WHERE doc_id % 29 <> 0 "
+    "AND doc_id % 31 <> 0 AND doc_id % 37 <> 0)")
+
+
+def _differs(name: str, claimed: str, held: str) -> str:
+    return _found_sql("ERROR", f"{name} differs from what is held",
+                      f"{claimed} IS DISTINCT FROM {held}", rows="checked",
+                      sample=f"coalesce({claimed}::VARCHAR, 'null') || ' holds ' || {held}")
+
+
+def _checked(level: str, check: str, n: str, sample: str = "NULL") -> str:
+    return _found_sql(level, check, f"({n}) > 0", n, sample, "checked")
+
+
+PARSED = "try_strptime(scraped_at, '%Y-%m-%dT%H:%M:%SZ')"
+SELF_SQL = union_sql(
+    _differs("products_stored", "claimed", "n_stored"),
+    _differs("short_pages", "claimed_short", "short_pages"),
+    _differs("pages", "claimed_pages", "n_pages"),
+    _checked("ERROR", "id on a page without a body", "bodiless"),
+    _checked("ERROR", "body on no page", "untraced"),
+    _checked("ERROR", "body keyed by a foreign id", "n_foreign"),
+    _checked("ERROR", "complete contradicts the listings", "(NOT ended)::INT"),
+    _checked("ERROR", "site is not the one in the file name",
+             "(NOT starts_with(file, site || '-'))::INT", "site"),
+    _checked("ERROR", "scraped_at is not a UTC stamp", f"({PARSED} IS NULL)::INT", "scraped_at"),
+    _checked("ERROR", "stamp is not the one in the file name",
+             f"({PARSED} IS NOT NULL AND NOT contains(file, replace(replace("
+             "scraped_at, '-', ''), ':', '')))::INT"))
+VENDOR_SQL = _checked("ERROR", "vendors differ from the bodies", "off_vendors", "off_vendor")
+THIN_SQL = union_sql(
+    _checked("WARN", "no products", "(n_stored = 0)::INT"),
+    _checked("WARN", "listing cut off", "(NOT ended)::INT", "'error'"),
+    _checked("WARN", "failed request", "(doc_id % 10 = 0)::INT", "'HTTP 500'"),
+    _checked("WARN", "throttled", "CASE WHEN doc_id % 3 = 0 THEN doc_id ELSE 0 END",
+             "'rate now 0.5/s'"),
+    _checked("WARN", "page under 250 items beyond the closing ones",
+             "CASE WHEN claimed_pages > 0 THEN claimed_short - (n_collections + ended::INT) END"),
+    _checked("WARN", "no currency", "(doc_id % 11 = 0)::INT"),
+    _checked("WARN", "no country", "(doc_id % 13 = 0)::INT"))
+
+CLAIMED = ("site", "adapter", "base_url", "currency", "country", "brand_override", "scraped_at",
+           "products_received", "products_stored", "complete", "pages", "short_pages",
+           "collections_crawled", "throttled", "rate_limit_start", "rate_limit_final")
+LISTS = ("listings", "errors", "responses")
+
+
+def _measured(spark: SparkSession, folder: str) -> DataFrame:
+    documents = raw_documents(spark, folder)
+    claimed = F.to_json(F.struct(*CLAIMED))
+    # Containers stand for themselves empty; what they hold is in the rows.
+    text = F.concat(F.substring(claimed, F.lit(1), F.length(claimed) - 1), F.lit(
+        ', "listings": [], "errors": [], "responses": [], "products": {}, "vendors": {}}'))
+    tops = raw_documents(spark, folder, "file", *CLAIMED).select("file", text.alias("text"))
+    parts = raw.parts_of_documents(documents, tops)
+    return checks.against_held(checks.top_level(parts.tops),
+                               checks.held_numbers(cut_lineage(parts.rows)))
+
+
+@query(f"WITH {BASE}, {MET} {SELF_SQL}")
 def trace_check(spark: SparkSession, folder: str) -> DataFrame:
     """Every claim of a document recomputed, bodies against pages both ways."""
-    documents = raw_documents(spark, folder)
-    return checks.self_checks(documents.where(checks.is_sound()))
+    return checks.self_checks(_measured(spark, folder))
 
 
-@query(f"WITH {BASE} " + _found_sql("ERROR", "vendors differ from the bodies", "doc_id % 6 = 0",
-                                    sample="'zz'", rows="docs"))
+@query(f"WITH {BASE}, {MET} {VENDOR_SQL}")
 def vendor_check(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.vendor_check(raw_documents(spark, folder, "file", "vendors", "products"))
+    return checks.vendor_check(_measured(spark, folder))
 
 
-@query(f"WITH {BASE} " + union_sql(
-    _found_sql("WARN", "listing cut off", "NOT ended", sample="'error'", rows="docs"),
-    _found_sql("WARN", "failed request", "doc_id % 10 = 0", sample="'HTTP 500'", rows="docs"),
-    _found_sql("WARN", "throttled", "doc_id % 3 = 0 AND doc_id > 0", "doc_id", rows="docs"),
-    _found_sql("WARN", "page under 250 items beyond the closing ones",
-               "claimed_short > n_collections + ended::INTEGER",
-               "claimed_short - (n_collections + ended::INTEGER)", rows="docs"),
-    _found_sql("WARN", "no currency", "doc_id % 11 = 0", rows="docs"),
-    _found_sql("WARN", "no country", "doc_id % 13 = 0", rows="docs")))
+@query(f"WITH {BASE}, {MET} {THIN_SQL}")
 def thinness_check(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.thinness_checks(raw_documents(
-        spark, folder, "file", "currency", "country", "products", "errors", "throttled", "pages",
-        "short_pages", "listings"))
+    return checks.thinness_checks(_measured(spark, folder))
+
+
+def _inner(text: Column) -> Column:
+    return F.substring(text, F.lit(2), F.length(text) - 2)
+
+
+def _field(column: Column, name: str, nulls: bool) -> Column:
+    """``"name":value`` as JSON; empty for a null unless ``nulls``."""
+    return _inner(F.to_json(F.struct(column.alias(name)), {
+        "ignoreNullFields": "false" if nulls else "true"}))
+
+
+def _object(struct: Column, names: list[str]) -> Column:
+    told = F.array_remove(F.array(*(_field(struct[n], n, False) for n in names)), "")
+    return F.concat(F.lit("{\n      "), F.array_join(told, ",\n      "), F.lit("\n    }"))
+
 
+def _container(name: str, entries: Column, brackets: str) -> Column:
+    some = F.concat(F.lit(brackets[0] + "\n    "), F.array_join(entries, ",\n    "),
+                    F.lit("\n  " + brackets[1]))
+    return F.concat(F.lit(f'"{name}": '), F.when(F.size(entries) > 0, some).otherwise(brackets))
 
-@query(f"WITH {BASE} " + _found_sql("ERROR", "complete is missing", "doc_id % 17 = 0",
-                                    rows="docs"))
+
+def _named(key: Column) -> Column:
+    return F.regexp_replace(_inner(F.to_json(F.create_map(key, F.lit(0)))), ":0$", ": ")
+
+
+def document_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """``file_path, text``: the documents as files hold them, some of them damaged.
+
+    Every seventeenth lacks a field, every 23rd has a null counter, every 29th an object
+    for a list, every 31st is cut short, every 37th stands within a list.
+    """
+    documents = raw_documents(spark, folder)
+    types = documents.schema
+    names = {c: types[c].dataType.elementType.names for c in LISTS}
+    doc = F.regexp_extract("base_url", r"(\d+)$", 1).cast("long")
+
+    def top(name: str) -> Column:
+        if name == "complete":
+            return _field(F.col(name), name, False)
+        return _field(F.when(doc % 23 != 0, F.col(name)) if name == "pages" else F.col(name),
+                      name, True)
+
+    def listed(name: str) -> Column:
+        whole = _container(name, F.transform(name, lambda e: _object(e, names[name])), "[]")
+        return F.when(doc % 29 == 0, '"errors": {}').otherwise(whole) if name == "errors" \
+            else whole
+
+    fields = [
+        *map(top, CLAIMED),
+        _container("vendors", F.transform(F.map_entries("vendors"), lambda e: F.concat(
+            _named(e["key"]), e["value"].cast("string"))), "{}"),
+        *map(listed, LISTS),
+        _container("products", F.transform(F.map_entries("products"), lambda e: F.concat(
+            _named(e["key"]), _object(e["value"], types["products"].dataType.valueType.names))),
+            "{}")]
+    text = F.concat(F.lit("{\n  "), F.array_join(F.array_remove(F.array(*fields), ""), ",\n  "),
+                    F.lit("\n}"))
+    whole = evaluated_once(documents, F.col("file").alias("file_path"), doc.alias("doc"),
+                           text.alias("whole"))
+    return whole.select("file_path", F.when(F.col("doc") % 31 == 0, F.substring(
+        "whole", F.lit(1), F.length("whole") - 3)).when(F.col("doc") % 37 == 0, F.concat(
+            F.lit("["), "whole", F.lit("]"))).otherwise(F.col("whole")).alias("text"))
+
+
+READABLE = "doc_id % 31 <> 0 AND doc_id % 37 <> 0"
+
+
+@query(f"WITH {BASE} " + union_sql(
+    _found_sql("ERROR", "complete is missing", f"doc_id % 17 = 0 AND {READABLE}", rows="docs"),
+    _found_sql("ERROR", "errors is not a list", f"doc_id % 29 = 0 AND {READABLE}",
+               sample="'OBJECT'", rows="docs"),
+    _found_sql("ERROR", "invalid JSON", "doc_id % 31 = 0", rows="docs"),
+    _found_sql("ERROR", "root is not an object", "doc_id % 37 = 0 AND doc_id % 31 <> 0",
+               sample="'ARRAY'", rows="docs")))
 def raw_structure_check(spark: SparkSession, folder: str) -> DataFrame:
-    documents = raw_documents(spark, folder).withColumn(CORRUPT, F.lit(None).cast("string"))
-    return checks.structure_checks(documents)
+    """Absent, null and of a wrong type told apart, out of pieces where a text can be cut."""
+    texts = document_texts(spark, folder)
+    files = pieces.summary(pieces.marked(pieces.cut_text(texts)))
+    whole = texts.withColumnRenamed("text", "whole").join(files, "file_path")
+    tops = whole.select(F.col("file_path").alias("file"), F.when(
+        F.col("odd"), F.col("whole")).otherwise(F.col("text")).alias("text"))
+    return checks.structure_checks(checks.top_level(tops))
+
+
+@query(f"WITH {BASE}, {MET_IN_TEXTS} " + union_sql(SELF_SQL, VENDOR_SQL, THIN_SQL))
+def raw_split_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """All checks of documents cut into pieces: no row holds more than a product or a page."""
+    marked = pieces.marked(pieces.cut_text(document_texts(spark, folder)))
+    files = cut_lineage(pieces.summary(marked)).where("NOT odd")
+    parts = raw.parts_of_pieces(marked.join(files.select("file_path"), "file_path"), files)
+    return checks.measured_checks(parts)
 
 
 @query(f"""
 WITH {BASE}
 SELECT 'WARN' AS level, 'coverage' AS "where", 'crawl of no enabled site' AS "check",
-  count(*)::BIGINT AS n, min(s) AS sample
+  count(*)::BIGINT AS n, string_agg(s, ', ' ORDER BY s) AS sample
 FROM (SELECT DISTINCT CASE WHEN doc_id % 19 = 0 THEN 'other-' || doc_id ELSE site END AS s FROM docs)
 WHERE s NOT IN (SELECT 'store-' || doc_id FROM labels) HAVING count(*) > 0
 UNION ALL
-SELECT 'WARN', 'coverage', 'enabled site never crawled', count(*), min(s)
+SELECT 'WARN', 'coverage', 'enabled site never crawled', count(*), string_agg(s, ', ' ORDER BY s)
 FROM (SELECT 'store-' || doc_id AS s FROM labels
       WHERE doc_id % 19 = 0 OR doc_id NOT IN (SELECT doc_id FROM docs)) HAVING count(*) > 0
 """)
