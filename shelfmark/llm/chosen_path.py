@@ -35,7 +35,7 @@ from shelfmark.llm.components import components
 from shelfmark.llm.jaccard import shingle_sets
 
 POOL = 128                   # minwise tokens of a document, each gives one bit of its sketch
-BRANCHES = 2                 # places that a node chooses
+BRANCHES = 3                 # places that a node chooses
 LEAF = 8192                  # members up to which a node is compared exhaustively
 DEPTH = 6                    # levels of branching
 FAMILY_SHINGLES = 2_000_000  # shingles up to which a family is confirmed in one task
@@ -44,8 +44,6 @@ FEW = 200_000                # rows of at most 40 bytes that may be broadcast
 
 MULTIPLIERS = np.random.default_rng(20250311).integers(0, 2**63, POOL, dtype=U) * U(2) + U(1)
 
-MEMBER = "node bigint, id bigint, n bigint, low bigint, high bigint, label bigint"
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -259,14 +257,36 @@ def _children(members: DataFrame, tokens: DataFrame) -> DataFrame:
         "id", "n", "low", "high", "label")
 
 
+def _roots(reps: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """Candidate links of the trees' first nodes of two members; members of the others.
+
+    Nearly all first nodes have one member. They are told by their ids alone, so that
+    sketches travel only for members that share a node.
+    """
+    rows = reps.select("id", F.posexplode(F.slice("tokens", 1, rule.trees * BRANCHES)).alias(
+        "place", "token")).select(F.xxhash64(F.lit("root"), "place", "token").alias("node"), "id")
+    nodes = folders.written(rows.groupBy("node").agg(
+        F.count("*").alias("size"), F.min("id").alias("a"), F.max("id").alias("b"))
+        .where("size > 1 AND a <> b"), "roots")
+    known = folders.small_enough(folders.written(
+        reps.select("id", "n", "low", "high"), "sketches"), FEW)
+
+    def sketch(column: str) -> DataFrame:
+        return known.select(F.col("id").alias(column),
+                            F.struct("n", "low", "high").alias(f"of_{column}"))
+
+    pairs = nodes.where("size = 2").select("a", "b").distinct().join(sketch("a"), "a").join(
+        sketch("b"), "b").where(_near("of_a", "of_b", rule)).select("a", "b")
+    members = rows.join(nodes.where("size > 2").select("node"), "node").join(
+        known, "id").select("node", "id", "n", "low", "high", F.col("id").alias("label"))
+    return pairs, members
+
+
 def candidates(reps: DataFrame, rule: Rule) -> DataFrame:
     """Links ``a``, ``b`` that connect all sets that may be linked, from their signatures."""
-    roots = F.slice("tokens", 1, rule.trees * BRANCHES)
-    members = reps.select("id", "n", "low", "high", F.col("id").alias("label"),
-                          F.posexplode(roots).alias("place", "token")).select(
-        F.xxhash64(F.lit("root"), "place", "token").alias("node"), "id", "n", "low", "high",
-        "label")
-    found, depth = [], 1
+    pairs, members = _roots(reps, rule)
+    members = folders.written(members, "members")
+    found, depth = [folders.written(pairs, "candidates")], 1
     while members is not None:
         links, left = _level(members, rule, depth > DEPTH)
         found.append(folders.written(reduce(DataFrame.unionByName, links), "candidates"))

@@ -80,7 +80,7 @@ def test_other_rules(spark):
 
 
 def test_parameters_follow_from_the_recall():
-    assert cp.Rule().trees == 7 and cp.Rule(miss=1e-3).trees == 3
+    assert cp.Rule().trees == 4 and cp.Rule(miss=1e-3).trees == 2
     assert 25 < cp.Rule().most_bits < 40
     r = np.random.default_rng(1)
     for similar in (0.3, 0.85):
