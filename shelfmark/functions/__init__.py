@@ -1,6 +1,6 @@
 """Column functions: every one takes and returns Spark columns, no UDFs."""
 
-from .arrays import map_elements, merge_arrays, one_of
+from .arrays import one_of
 from .calendar import calendar_columns, crawl_date, season_of
 from .money import discount_percent, money, positive, sale_reference_price
 from .options import (
@@ -8,10 +8,9 @@ from .options import (
     GENDER_OPTIONS,
     MATERIAL_OPTIONS,
     SIZE_OPTIONS,
-    joined_values,
-    option_position,
-    option_values,
-    slot_value,
+    in_slot,
+    listed,
+    options_by_role,
 )
 from .stamps import (
     base_name,
@@ -26,8 +25,7 @@ from .text import clean_text, fold, upper_name
 __all__ = [
     "COLOR_OPTIONS", "GENDER_OPTIONS", "MATERIAL_OPTIONS", "SIZE_OPTIONS",
     "base_name", "calendar_columns", "clean_text", "compact_stamp", "crawl_date",
-    "dataset_of", "discount_percent", "fold", "is_stamp", "joined_values",
-    "map_elements", "merge_arrays", "money", "one_of", "option_position",
-    "option_values", "positive", "retailer_of_file", "sale_reference_price",
-    "season_of", "slot_value", "stamp_of_file", "upper_name",
+    "dataset_of", "discount_percent", "fold", "in_slot", "is_stamp", "listed", "money",
+    "one_of", "options_by_role", "positive", "retailer_of_file", "sale_reference_price",
+    "season_of", "stamp_of_file", "upper_name",
 ]

@@ -1,4 +1,4 @@
-"""Array helpers, null-safe."""
+"""Arrays of raw values resolved to one."""
 
 from __future__ import annotations
 
@@ -10,17 +10,6 @@ from pyspark.sql import functions as F
 from .text import fold_elements
 
 
-def map_elements(values: Column, fn: Callable[[Column], Column]) -> Column:
-    """``transform`` that treats a null array as empty."""
-    return F.transform(F.coalesce(values, F.array().cast("array<string>")), fn)
-
-
-def merge_arrays(*arrays: Column) -> Column:
-    """Concatenate arrays, a null one counting as empty."""
-    empty = F.array().cast("array<string>")
-    return F.concat(*(F.coalesce(a, empty) for a in arrays))
-
-
 def literal_map(mapping: Mapping[str, str]) -> Column:
     return F.create_map(*(F.lit(x) for pair in mapping.items() for x in pair))
 
@@ -39,7 +28,7 @@ def one_of(values: Column, mapping: Mapping[str, str], several: str, *,
         return F.lit(None).cast("string")
     table = literal_map(mapping)
     if strip_prefix:
-        values = map_elements(values, lambda v: F.regexp_replace(v, r"^[^:]*:", ""))
+        values = F.transform(values, lambda v: F.regexp_replace(v, r"^[^:]*:", ""))
     # The spellings that occur, each once, are picked out before anything is mapped.
     spelled = F.array_intersect(F.array(*map(F.lit, mapping)), fold_elements(values))
     found = F.array_distinct(F.transform(spelled, lambda v: F.try_element_at(table, v)))

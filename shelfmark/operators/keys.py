@@ -27,24 +27,27 @@ def _bucket(natural: Sequence[str]) -> Column:
 
 
 def dense_keys(rows: DataFrame, key: str, natural: Sequence[str],
-               start: Column | int = 0) -> DataFrame:
+               start: Column | int = 0, within: Sequence[str] = ()) -> DataFrame:
     """Keys ``start + 1 .. start + n``, for dimensions that are read by people.
 
-    Reads ``rows`` twice: once for the number of rows per bucket (at most
-    ``BUCKETS`` numbers, hence the broadcast), once to number them.
+    ``within`` names columns whose every value is numbered by itself. Reads ``rows`` twice:
+    once for the number of rows per bucket (at most ``BUCKETS`` numbers each, hence
+    the broadcast), once to number them.
     """
     start = F.lit(start) if isinstance(start, int) else start
     spread = rows.withColumn("_bucket", _bucket(natural))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*within).orderBy("_bucket").rowsBetween(
+        Window.unboundedPreceding, -1)
     offsets = (
-        rows.select(_bucket(natural).alias("_bucket"))
-        .groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        rows.select(*within, _bucket(natural).alias("_bucket"))
+        .groupBy(*within, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+        .select(*within, "_bucket",
+                F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    inside = Window.partitionBy("_bucket").orderBy(*natural)
+    inside = Window.partitionBy(*within, "_bucket").orderBy(*natural)
     return (
         spread.withColumn("_position", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_bucket")
+        .join(F.broadcast(offsets), [*within, "_bucket"])
         .select((start + F.col("_offset") + F.col("_position")).cast("long").alias(key),
                 *rows.columns)
     )

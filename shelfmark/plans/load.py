@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.guards import InputError, require_rows
 from ..operators.merge import new_rows, values_of
-from ..schemas import ANALYTICAL, CURRENT_TABLES, HISTORICAL_TABLES, PROCESSED
+from ..schemas import ANALYTICAL, PROCESSED
 from ..session import cut_lineage
 from ..sources.tables import APPEND, REPLACE, TableStore
 from . import star
@@ -34,11 +34,12 @@ def load_processed(run: TableStore, history: TableStore) -> dict[str, int]:
         raise InputError(f"the run lacks table(s): {', '.join(missing)}")
     load = history.begin()
     added = {}
-    for table in CURRENT_TABLES:
-        added[table] = load.write(table, typed(run.read(table), table), REPLACE, files=1)
-    for table in HISTORICAL_TABLES:
-        spec = PROCESSED[table]
-        held, rows = history.read_or_empty(table, spec.ddl), typed(run.read(table), table)
+    for table, spec in PROCESSED.items():
+        rows = typed(run.read(table), table)
+        if not spec.cumulative:
+            added[table] = load.write(table, rows, REPLACE, files=1)
+            continue
+        held = history.read_or_empty(table, spec.ddl)
         fresh = new_rows(held, rows, spec.grain, ("date", values_of(rows, "date")))
         added[table] = load.write(table, fresh, APPEND, partition_by="date")
     load.commit()
@@ -69,21 +70,10 @@ def load_analytical(history: TableStore, model: TableStore,
     held = {t: model.read_or_empty(t, ddl) for t, ddl in ANALYTICAL.items()}
     added: dict[str, int] = {}
 
-    def replace(table: str, rows: DataFrame) -> DataFrame:
+    dims = star.dimensions({n: held[n] for n in star.DIMENSIONS}, processed)
+    for table, rows in dims.items():
         before = held[table].count()
         added[table] = load.write(table, rows, REPLACE, files=1) - before
-        return load.pending(table)
-
-    dims = {}
-    for table, (key, source) in star.NAME_DIMENSIONS.items():
-        dims[table] = replace(table, star.dim_name(held[table], processed[source], key))
-    dims["dim_country"] = replace("dim_country", star.dim_country(
-        held["dim_country"], processed["countries"]))
-    dims["dim_brand"] = replace("dim_brand", star.dim_brand(
-        held["dim_brand"], processed["brands"], dims["dim_segment"], dims["dim_tier"]))
-    dims["dim_retailer"] = replace("dim_retailer", star.dim_retailer(
-        held["dim_retailer"], processed["retailers"], dims["dim_country"]))
-    dims["dim_date"] = replace("dim_date", star.dim_date(held["dim_date"], processed["dates"]))
 
     # Used twice, to report and to load: joined once and kept in the shared folder.
     observed = cut_lineage(star.product_observations(

@@ -1,81 +1,136 @@
 """The star schema: ten dimensions and the observation fact.
 
-Each function takes the dimension as held and the processed rows and returns either
-the whole dimension (``dim_*``) or only the rows to append (``new_*``). Held rows keep
-their surrogate keys. Processed columns and keys meet on equality, so a null never
-matches.
+All dimensions are derived together: the natural keys of every processed table are
+tagged rows of one frame, made distinct once and numbered once. Held rows keep their
+surrogate keys. Processed columns and keys meet on equality, so a null never matches.
+``new_*`` return only the rows to append.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.keys import dense_keys, highest_key, interleaved_keys
-from ..operators.merge import merge_upsert, new_rows
-
-# dimension -> (surrogate key, processed table); all hold a single ``name``.
-NAME_DIMENSIONS = {
-    "dim_segment": ("segment_key", "segments"),
-    "dim_tier": ("tier_key", "tiers"),
-    "dim_category": ("category_key", "categories"),
-    "dim_currency": ("currency_key", "currencies"),
-    "dim_gender": ("gender_key", "genders"),
-}
+from ..operators.merge import new_rows
+from ..schemas import PROCESSED
+from ..session import cut_lineage
+
 FACT_KEYS = ("variant_id", "product_id", "retailer_key", "date_key")
 PRODUCT_KEYS = ("product_id", "retailer_key", "date_key")
+# A dimension whose rows hold no more is sent to every task of a join.
+BROADCAST_BYTES = 32 << 20
 
 
-def insert_dimension(held: DataFrame, rows: DataFrame, key: str,
-                     natural: Sequence[str]) -> DataFrame:
-    """Insert-only: held rows as they are, new natural keys numbered after them."""
-    named = rows.dropna(subset=list(natural)).distinct()
-    fresh = new_rows(held, named, natural)
-    keyed = dense_keys(fresh, key, natural, highest_key(held, key))
-    return held.unionByName(keyed.select(*held.columns))
-
-
-def type1_dimension(held: DataFrame, rows: DataFrame, key: str,
-                    natural: Sequence[str]) -> DataFrame:
-    """Held rows keep their key and take the new attributes; new ones are numbered."""
-    named = rows.dropna(subset=list(natural))
-    merged = merge_upsert(held, named, natural)
-    fresh = merged.where(F.col(key).isNull()).drop(key)
-    keyed = dense_keys(fresh, key, natural, highest_key(held, key))
-    return merged.where(F.col(key).isNotNull()).unionByName(keyed.select(*held.columns))
+@dataclass(frozen=True)
+class Dimension:
+    """What a dimension is made of; its natural key is the grain of its table.
 
+    ``links`` name the columns that hold another dimension's natural key. ``updated``
+    dimensions take the newest attributes (Type 1), others keep the first.
+    """
 
-def dim_name(held: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Segment, tier, category, currency or gender."""
-    return insert_dimension(held, rows.select("name"), key, ["name"])
+    key: str
+    table: str
+    attributes: tuple[str, ...] = ()
+    links: Mapping[str, str] = field(default_factory=dict)
+    updated: bool = False
 
+    @property
+    def natural(self) -> str:
+        return PROCESSED[self.table].grain[0]
 
-def dim_country(held: DataFrame, countries: DataFrame) -> DataFrame:
-    """Code and name; a held name is not updated."""
-    return insert_dimension(held, countries.select("code", "name"), "country_key", ["code"])
 
+DIMENSIONS = {spec.dimension: Dimension(f"{spec.dimension[4:]}_key", name)
+              for name, spec in PROCESSED.items() if spec.dimension} | {
+    "dim_country": Dimension("country_key", "countries", ("name",)),
+    "dim_date": Dimension("date_key", "dates", tuple(
+        c for c in PROCESSED["dates"].columns if c != "date")),
+    "dim_brand": Dimension("brand_key", "brands", links={
+        "segment": "dim_segment", "tier": "dim_tier"}, updated=True),
+    "dim_retailer": Dimension("retailer_key", "retailers", ("url",),
+                              {"country": "dim_country"}, updated=True)}
 
-def dim_date(held: DataFrame, dates: DataFrame) -> DataFrame:
-    columns = [c for c in held.columns if c != "date_key"]
-    return insert_dimension(held, dates.select(*columns), "date_key", ["date"])
 
+def _tagged(name: str, rows: DataFrame) -> DataFrame:
+    """``dimension, natural, stated``: a processed table's rows, attributes as JSON."""
+    one = DIMENSIONS[name]
+    stated = [F.col(c) for c in (*one.attributes, *one.links)]
+    return rows.select(
+        F.lit(name).alias("dimension"), F.col(one.natural).cast("string").alias("natural"),
+        (F.to_json(F.struct(*stated)) if stated else F.lit("{}")).alias("stated"))
 
-def dim_brand(held: DataFrame, brands: DataFrame, segments: DataFrame,
-              tiers: DataFrame) -> DataFrame:
-    """Type 1 on the name, pointing at segment and tier."""
-    rows = _with_key(_with_key(brands, segments, "segment", "name", "segment_key"),
-                     tiers, "tier", "name", "tier_key")
-    return type1_dimension(held, rows.select("name", "segment_key", "tier_key"),
-                           "brand_key", ["name"])
 
+def dimensions(held: Mapping[str, DataFrame],
+               processed: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The dimensions as they are after ``processed`` has been loaded into ``held``.
 
-def dim_retailer(held: DataFrame, retailers: DataFrame, countries: DataFrame) -> DataFrame:
-    """Type 1 on the name, pointing at country."""
-    rows = _with_key(retailers, countries, "country", "code", "country_key")
-    return type1_dimension(held, rows.select("name", "url", "country_key"),
-                           "retailer_key", ["name"])
+    Dimensions whose table is not among the processed ones stay as they are. Each processed
+    table is read once; what follows works on distinct values, kept in the shared folder. Two
+    different rows with one key fail an updated dimension, as they would fail a warehouse
+    merge; otherwise the lowest is taken.
+    """
+    loaded = [n for n, one in DIMENSIONS.items() if one.table in processed]
+    needed = {*loaded, *(parent for n in loaded for parent in DIMENSIONS[n].links.values())}
+    incoming = cut_lineage(reduce(DataFrame.unionByName, (
+        _tagged(n, processed[DIMENSIONS[n].table]) for n in loaded))
+        .where("natural IS NOT NULL").groupBy("dimension", "natural").agg(
+            F.min("stated").alias("stated"), F.max("stated").alias("other")))
+    before = reduce(DataFrame.unionByName, (held[n].select(
+        F.lit(n).alias("dimension"), F.col(DIMENSIONS[n].natural).cast("string").alias("natural"),
+        F.col(DIMENSIONS[n].key).alias("key")) for n in needed))
+    fresh = incoming.select("dimension", "natural").join(
+        before, ["dimension", "natural"], "left_anti")
+    last = before.groupBy("dimension").agg(F.max("key").alias("last"))
+    numbered = dense_keys(fresh, "key", ["natural"], within=["dimension"]).join(
+        F.broadcast(last), "dimension", "left").select(       # a row per dimension
+        "dimension", "natural", (F.coalesce("last", F.lit(0)) + F.col("key")).alias("key"),
+        F.lit(True).alias("added"))
+    keys = cut_lineage(numbered.unionByName(before.withColumn("added", F.lit(False))))
+    sizes = {row["dimension"]: row["bytes"] for row in keys.groupBy("dimension").agg(
+        F.sum(F.octet_length("natural") + 16).alias("bytes")).collect()}
+
+    def keys_of(name: str) -> DataFrame:
+        mine = keys.where(F.col("dimension") == name).drop("dimension")
+        return F.broadcast(mine) if sizes.get(name, 0) <= BROADCAST_BYTES else mine
+
+    def whole(name: str) -> DataFrame:
+        one, before = DIMENSIONS[name], held[name]
+        types = dict(before.dtypes)
+        stated = ", ".join([f"{c} {types[c]}" for c in one.attributes]
+                           + [f"{c} string" for c in one.links])
+        rows = incoming.where(F.col("dimension") == name)
+        if one.updated:
+            rows = rows.withColumn("stated", F.when(
+                F.col("stated") == F.col("other"), F.col("stated")).otherwise(F.raise_error(
+                    F.lit(f"merge source repeats a key: {name}"))))
+        rows = rows.select("natural", F.from_json("stated", stated).alias("s") if stated
+                           else F.lit(None).alias("s")).join(keys_of(name), "natural")
+        for link, parent in one.links.items():
+            rows = rows.withColumn("_link", F.col(f"s.{link}")).join(
+                keys_of(parent).select(F.col("natural").alias("_link"),
+                                       F.col("key").alias(DIMENSIONS[parent].key)),
+                "_link", "left")
+        made = rows.where("added" if not one.updated else "true").select(
+            *(F.col("natural").cast(types[c]).alias(c) if c == one.natural
+              else F.col("key").alias(c) if c == one.key
+              else F.col(f"s.{c}").alias(c) if c in one.attributes else F.col(c)
+              for c in before.columns))
+        kept = before.join(made.select(one.natural), one.natural, "left_anti").select(
+            *before.columns) if one.updated else before
+        return kept.unionByName(made)
+
+    return {n: small(whole(n), sizes.get(n, 0)) if n in loaded else frame
+            for n, frame in held.items()}
+
+
+def small(frame: DataFrame, size: int) -> DataFrame:
+    """Hinted for broadcast when the keys it is joined by are known to be small."""
+    return F.broadcast(frame) if size <= BROADCAST_BYTES else frame
 
 
 def _with_key(rows: DataFrame, dimension: DataFrame, column: str, natural: str,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.profile import rate, unpivot_row
 from ..operators.reconcile import reconcile_crawl_files, reconcile_datasets
-from ..schemas import CURRENT_TABLES, DIMENSION_SOURCES, HISTORICAL_TABLES
+from ..schemas import PROCESSED
 from .findings import ERROR, WARN, finding, raised, together
 
 REQUIRED_FACT_KEYS = ("product_key", "retailer_key", "date_key")
@@ -39,11 +39,15 @@ def count_checks(staged: DataFrame, loaded: DataFrame) -> DataFrame:
 
 
 def processed_load_checks(run: Mapping[str, DataFrame], history: Mapping[str, DataFrame],
-                          date: str) -> DataFrame:
-    """Replaced tables whole, cumulative ones only for the crawl of ``date``."""
-    day = F.lit(date).cast("date")
-    loaded = {t: history[t] for t in CURRENT_TABLES}
-    loaded |= {t: history[t].where(F.col("date") == day) for t in HISTORICAL_TABLES}
+                          date: str | None = None) -> DataFrame:
+    """Replaced tables whole, cumulative ones only for the crawl of ``date``.
+
+    By default that is the newest crawl whose products the history holds.
+    """
+    day = (F.lit(date).cast("date") if date is not None
+           else latest_date(history["products"]).scalar())
+    loaded = {name: history[name].where(F.col("date") == day) if spec.cumulative
+              else history[name] for name, spec in PROCESSED.items()}
     return count_checks(table_counts({t: run[t] for t in loaded}), table_counts(loaded))
 
 
@@ -58,8 +62,9 @@ def dimension_check(dimension: DataFrame, name: str, source: DataFrame, key: str
 
 def dimension_checks(processed: Mapping[str, DataFrame],
                      model: Mapping[str, DataFrame]) -> DataFrame:
-    return together(dimension_check(model[dim], dim, processed[table], key)
-                    for dim, (table, key) in DIMENSION_SOURCES.items())
+    return together(dimension_check(model[spec.dimension], spec.dimension, processed[table],
+                                    spec.grain[0])
+                    for table, spec in PROCESSED.items() if spec.dimension)
 
 
 def crawl_counts(rows: DataFrame, dates: DataFrame) -> DataFrame:

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions.money import MAX_DISCOUNT_PERCENT
 from ..operators.reconcile import set_difference
-from ..schemas import CONTROLLED, PROCESSED, TableSpec
+from ..schemas import PROCESSED, Table
 from .findings import ERROR, WARN, finding, raised, stated, together
 
 
-def column_checks(frame: DataFrame, name: str, spec: TableSpec) -> DataFrame:
+def column_checks(frame: DataFrame, name: str, spec: Table) -> DataFrame:
     """Rows present, nulls, case and empty columns, all from one aggregate."""
     filled = [c for c in spec.filled if c in frame.columns]
-    upper = [c for c in spec.upper if c in frame.columns]
+    upper = [c for c in spec.names if c in frame.columns]
     optional = [c for c in frame.columns if c not in spec.filled]
     off_case = {c: F.col(c) != F.upper(c) for c in upper}
     row = frame.agg(
@@ -43,7 +43,7 @@ def grain_check(frame: DataFrame, name: str, grain: Sequence[str]) -> DataFrame:
         ERROR, name, f"duplicate on ({', '.join(grain)})", F.col("_extra"))])
 
 
-def table_checks(frame: DataFrame, name: str, spec: TableSpec) -> DataFrame:
+def table_checks(frame: DataFrame, name: str, spec: Table) -> DataFrame:
     missing = [c for c in dict.fromkeys((*spec.grain, *spec.filled)) if c not in frame.columns]
     if missing:
         return stated(frame.sparkSession, [
@@ -112,10 +112,12 @@ def processed_checks(tables: Mapping[str, DataFrame],
                      staged_sites: DataFrame | None = None) -> DataFrame:
     """Every check of the twelve tables; a table that is absent is skipped here."""
     frames = [table_checks(tables[n], n, spec) for n, spec in PROCESSED.items() if n in tables]
-    for table, column, vocabulary, key in CONTROLLED:
-        if table in tables and vocabulary in tables:
-            frames.append(vocabulary_check(tables[table], table, column,
-                                           tables[vocabulary], key, vocabulary))
+    for table, spec in PROCESSED.items():
+        for column, vocabulary in spec.vocabularies.items():
+            if table in tables and vocabulary in tables:
+                frames.append(vocabulary_check(
+                    tables[table], table, column, tables[vocabulary],
+                    PROCESSED[vocabulary].grain[0], vocabulary))
     if "variants" in tables and "products" in tables:
         frames.append(orphan_check(tables["variants"], "variants", tables["products"],
                                    "products", ["product", "retailer"]))

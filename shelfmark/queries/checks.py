@@ -9,7 +9,7 @@ from ..operators.dedupe import first_per_key
 from ..operators.reconcile import set_difference
 from ..plans import conform
 from ..quality import findings, loaded, processed
-from ..schemas import PROCESSED, TableSpec
+from ..schemas import COUNT, GRAIN, NAME, NUMBER, OPTIONAL, PROCESSED, TEXT, Table, column
 from . import products as conformed
 from . import retail
 from .registry import query, table
@@ -32,9 +32,9 @@ LABELLED = """labelled AS (
   SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic,
     CASE WHEN d.n_chars < 0 THEN 'x' END AS remark
   FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)"""
-LABELLED_SPEC = TableSpec(
-    "doc_id bigint; quality int; toxic int; lang string; source string; remark string",
-    ("doc_id",), ("doc_id", "quality", "toxic"), ("lang", "source"))
+LABELS = [column("doc_id", COUNT, GRAIN), column("quality", NUMBER), column("toxic", NUMBER)]
+LABELLED_SPEC = Table.of(*LABELS, column("lang", TEXT, NAME, OPTIONAL),
+                         column("source", TEXT, NAME, OPTIONAL), column("remark", TEXT, OPTIONAL))
 
 
 def labelled(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,9 +64,8 @@ def qc_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {LABELLED} {union_sql(*LABELLED_NULLS)}")
 def qc_nulls(spark: SparkSession, folder: str) -> DataFrame:
-    spec = TableSpec("", (), ("doc_id", "quality", "toxic"))
     frame = labelled(spark, folder).select("doc_id", "quality", "toxic")
-    return processed.column_checks(frame, "labelled", spec)
+    return processed.column_checks(frame, "labelled", Table.of(*LABELS))
 
 
 PARTS_UPPER = ("p_brand", "p_type", "p_name")
@@ -76,7 +75,7 @@ PARTS_UPPER = ("p_brand", "p_type", "p_name")
     counted_sql("ERROR", "part", f"{c} is not upper case", "count(*)",
                 f"part WHERE {c} <> upper({c})", f"min({c}) AS sample") for c in PARTS_UPPER)))
 def qc_upper(spark: SparkSession, folder: str) -> DataFrame:
-    spec = TableSpec("", (), PARTS_UPPER, PARTS_UPPER)
+    spec = Table.of(*(column(c, TEXT, NAME) for c in PARTS_UPPER))
     return processed.column_checks(table(spark, folder, "part").select(*PARTS_UPPER), "part", spec)
 
 

@@ -42,6 +42,10 @@ def _empty(spark: SparkSession, name: str) -> DataFrame:
     return empty_frame(spark, ANALYTICAL[name])
 
 
+def _none(spark: SparkSession) -> dict[str, DataFrame]:
+    return {name: _empty(spark, name) for name in star.DIMENSIONS}
+
+
 SEGMENTS_SQL = insert_sql(
     "SELECT DISTINCT c_mktsegment AS name FROM customer WHERE c_mktsegment < 'G'",
     "SELECT DISTINCT c_mktsegment AS name FROM customer", "segment_key", "name")
@@ -51,8 +55,8 @@ SEGMENTS_SQL = insert_sql(
 def dim_simple(spark: SparkSession, folder: str) -> DataFrame:
     """Loaded twice: the segments of the first load keep their keys."""
     names = table(spark, folder, "customer").select(F.col("c_mktsegment").alias("name"))
-    first = star.dim_name(_empty(spark, "dim_segment"), names.where("name < 'G'"), "segment_key")
-    return star.dim_name(first, names, "segment_key")
+    first = star.dimensions(_none(spark), {"segments": names.where("name < 'G'")})
+    return star.dimensions(first, {"segments": names})["dim_segment"]
 
 
 @query(f"""WITH {insert_sql(
@@ -68,7 +72,8 @@ def dim_country(spark: SparkSession, folder: str) -> DataFrame:
     regions = table(spark, folder, "region").withColumnRenamed("r_regionkey", "n_regionkey")
     late = nations.join(regions, "n_regionkey").select(
         F.col("n_name").alias("code"), F.col("r_name").alias("name"))
-    return star.dim_country(star.dim_country(_empty(spark, "dim_country"), early), late)
+    first = star.dimensions(_none(spark), {"countries": early})
+    return star.dimensions(first, {"countries": late})["dim_country"]
 
 
 @query(f"""
@@ -96,17 +101,15 @@ def dim_brand_type1(spark: SparkSession, folder: str) -> DataFrame:
     parts = table(spark, folder, "part").select(
         F.col("p_brand").alias("name"), F.col("p_type").alias("segment"), "p_size",
         F.split_part("p_name", F.lit(" "), F.lit(1)).alias("tier"))
-    segments = star.dim_name(_empty(spark, "dim_segment"),
-                             parts.select(F.col("segment").alias("name")), "segment_key")
-    tiers = star.dim_name(_empty(spark, "dim_tier"),
-                          parts.select(F.col("tier").alias("name")), "tier_key")
     early = parts.where("p_size <= 2").groupBy("name").agg(
         F.min("segment").alias("segment"), F.min("tier").alias("tier"))
     late = parts.where("p_size > 1").groupBy("name").agg(
         F.max("segment").alias("segment"),
         F.when(F.max("p_size") <= 49, F.max("tier")).alias("tier"))
-    held = star.dim_brand(_empty(spark, "dim_brand"), early, segments, tiers)
-    return star.dim_brand(held, late, segments, tiers)
+    held = star.dimensions(_none(spark), {
+        "segments": parts.select(F.col("segment").alias("name")),
+        "tiers": parts.select(F.col("tier").alias("name")), "brands": early})
+    return star.dimensions(held, {"brands": late})["dim_brand"]
 
 
 @query(f"""
@@ -123,15 +126,14 @@ def dim_retailer_type1(spark: SparkSession, folder: str) -> DataFrame:
     """A load that changes every address and takes some countries away."""
     nations = table(spark, folder, "nation").select(
         F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("country"))
-    countries = star.dim_country(_empty(spark, "dim_country"), nations.select(
-        F.col("country").alias("code"), F.col("country").alias("name")))
+    countries = nations.select(F.col("country").alias("code"), F.col("country").alias("name"))
     stores = table(spark, folder, "supplier").join(nations, "s_nationkey").select(
         F.col("s_name").alias("name"), F.lower("s_name").alias("url"), "country", "s_acctbal")
-    held = star.dim_retailer(_empty(spark, "dim_retailer"),
-                             stores.where("s_acctbal > 0"), countries)
+    held = star.dimensions(_none(spark), {
+        "retailers": stores.where("s_acctbal > 0"), "countries": countries})
     late = stores.withColumn("url", F.concat("url", F.lit("/new"))).withColumn(
         "country", F.when(F.col("s_acctbal") < 9000, F.col("country")))
-    return star.dim_retailer(held, late, countries)
+    return star.dimensions(held, {"retailers": late})["dim_retailer"]
 
 
 DAYS_SQL = """SELECT DISTINCT cast(o_orderdate AS DATE) AS date,
@@ -148,8 +150,8 @@ def dim_date(spark: SparkSession, folder: str) -> DataFrame:
     staged = table(spark, folder, "orders").select(
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("scraped_at"))
     dates = conform.dates(staged)
-    first = star.dim_date(_empty(spark, "dim_date"), dates.where("date < date'1998-01-01'"))
-    return star.dim_date(first, dates)
+    first = star.dimensions(_none(spark), {"dates": dates.where("date < date'1998-01-01'")})
+    return star.dimensions(first, {"dates": dates})["dim_date"]
 
 
 def _one_load(rows: str, key: str, natural: str) -> str:
@@ -184,21 +186,11 @@ def interleaved_sql(rows: str, start: str) -> str:
 
 def _dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     known = retail.vocabularies(spark)
-    crawls = retail.staged_crawls(spark, folder)
-    countries = star.dim_country(_empty(spark, "dim_country"), known["countries"].table(spark))
-    dims = {
-        f"dim_{one}": star.dim_name(_empty(spark, f"dim_{one}"), known[many].table(spark),
-                                    f"{one}_key")
-        for one, many in (("segment", "segments"), ("tier", "tiers"), ("gender", "genders"),
-                          ("category", "categories"), ("currency", "currencies"))
-    }
-    dims["dim_country"] = countries
-    dims["dim_brand"] = star.dim_brand(_empty(spark, "dim_brand"), known["brands"].table(spark),
-                                       dims["dim_segment"], dims["dim_tier"])
-    dims["dim_retailer"] = star.dim_retailer(
-        _empty(spark, "dim_retailer"), conform.retailers(crawls, known["countries"]), countries)
-    dims["dim_date"] = star.dim_date(_empty(spark, "dim_date"), conform.dates(crawls))
-    return dims
+    crawls = cut_lineage(retail.staged_crawls(spark, folder))   # a table, read twice below
+    return star.dimensions(_none(spark), {
+        name: vocabulary.table(spark) for name, vocabulary in known.items()} | {
+        "retailers": conform.retailers(crawls, known["countries"]),
+        "dates": conform.dates(crawls)})
 
 
 def _observed(spark: SparkSession, folder: str, dims: dict[str, DataFrame],
@@ -265,7 +257,7 @@ SELECT * FROM held UNION ALL SELECT * FROM run r WHERE NOT EXISTS (
 """)
 def fact_second_load(spark: SparkSession, folder: str) -> DataFrame:
     """A later load that overlaps the first with other prices: the first write stays."""
-    rows = facts(spark, folder)
+    rows = cut_lineage(facts(spark, folder))    # the held table and the run, each read back
     held = rows.where("date_key <= 4 AND available")
     run = rows.where("date_key > 2").withColumn("price", F.col("original_price"))
     return held.unionByName(star.new_facts(held, run))

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import (
-    COLOR_OPTIONS, SIZE_OPTIONS, base_name, calendar_columns, clean_text, compact_stamp,
-    dataset_of, discount_percent, fold, is_stamp, joined_values, merge_arrays, one_of,
-    option_position, positive, retailer_of_file, sale_reference_price, slot_value,
-    stamp_of_file, upper_name,
+    base_name, calendar_columns, clean_text, compact_stamp, dataset_of, discount_percent, fold,
+    in_slot, is_stamp, listed, one_of, options_by_role, positive, retailer_of_file,
+    sale_reference_price, stamp_of_file, upper_name,
 )
+from ..operators.expressions import evaluated_once
 from .registry import query, table
 
 # What the functions do, in the oracle's SQL.
@@ -76,7 +76,9 @@ SELECT d.doc_id, CASE WHEN n > 1 THEN 'SEVERAL' ELSE language END AS language
 FROM documents d LEFT JOIN found USING (doc_id)
 """)
 def resolve_one_of(spark: SparkSession, folder: str) -> DataFrame:
-    words = merge_arrays(F.split("text", " "), F.split("lang", " "))
+    # A null text or language says nothing; the other is still read.
+    none = F.array().cast("array<string>")
+    words = F.concat(*(F.coalesce(F.split(c, " "), none) for c in ("text", "lang")))
     return table(spark, folder, "documents").select(
         "doc_id", one_of(words, WORD_LANGUAGE, "SEVERAL").alias("language"))
 
@@ -107,13 +109,14 @@ FROM part
 """)
 def option_slots(spark: SparkSession, folder: str) -> DataFrame:
     parts = part_options(table(spark, folder, "part"))
-    size, color = (option_position(F.col("options"), names)
-                   for names in (SIZE_OPTIONS, COLOR_OPTIONS))
     slots = F.array(F.concat(F.lit(" "), "p_type"), F.concat("p_brand", F.lit("  ")))
-    return parts.select(
-        "p_partkey", size.alias("size_slot"), color.alias("color_slot"),
-        slot_value(slots, size).alias("size_value"),
-        joined_values(F.col("options"), COLOR_OPTIONS).alias("colors"))
+    told = evaluated_once(parts, "p_partkey", slots.alias("slots"),
+                          options_by_role(F.col("options")).alias("by"))
+    return told.select(
+        "p_partkey", F.col("by.size.position").alias("size_slot"),
+        F.col("by.color.position").alias("color_slot"),
+        in_slot(F.col("slots"), F.col("by.size.position")).alias("size_value"),
+        listed(F.col("by.color.values")).alias("colors"))
 
 
 PRICED = """

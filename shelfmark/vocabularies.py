@@ -8,10 +8,11 @@ of its canonical values and their attributes.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,58 +93,66 @@ def build_vocabulary(spark: SparkSession, name: str,
     """A vocabulary from ``{canonical: {aliases, attributes}}`` or a bare list.
 
     A canonical value is always one of its own spellings. Where two values claim
-    one folded spelling, the later one has it and the clash is kept in
-    ``collisions``.
+    one folded spelling, the later one has it and the clash is kept in ``collisions``.
     """
     if key in attributes:
         raise VocabularyError(f"{name}: attribute {key!r} would overwrite the key")
-    entries = (definition.items() if isinstance(definition, Mapping)
-               else [(value, None) for value in definition])
-
-    rows: list[dict[str, str | None]] = []
-    spelled: list[tuple[str, str]] = []
-    for canonical, body in entries:
-        if not isinstance(canonical, str):
-            raise VocabularyError(f"{name}: {canonical!r} is not text; quote it")
-        body = body or {}
-        value = canonical.upper()
-        row: dict[str, str | None] = {key: value}
-        for attribute in attributes:
-            given = body.get(attribute)
-            row[attribute] = None if given is None else str(given).upper()
-        rows.append(row)
-        spelled += [(str(s), value) for s in (canonical, *(body.get("aliases") or []))]
-
-    lookup: dict[str, str] = {}
-    collisions = []
-    for folded, value in _fold_spellings(spark, spelled):
-        if lookup.get(folded, value) != value:
-            collisions.append((folded, lookup[folded], value))
-        lookup[folded] = value
-    return Vocabulary(name, rows, lookup, key, tuple(collisions))
-
-
-def _fold_spellings(spark: SparkSession,
-                    spelled: list[tuple[str, str]]) -> Iterable[tuple[str, str]]:
-    # A projection over local rows: the optimizer evaluates it without a job, and
-    # the rows are the definition's own, in its order.
-    if not spelled:
-        return []
-    frame = stated_rows(spark, ("spelling", "canonical"), spelled)
-    return [tuple(r) for r in frame.select(fold(F.col("spelling")), "canonical").collect()]
+    given = dict(definition if isinstance(definition, Mapping) else dict.fromkeys(definition))
+    if odd := [value for value in given if not isinstance(value, str)]:
+        raise VocabularyError(f"{name}: {', '.join(map(repr, odd))} is not text; quote it")
+    if not given:
+        return Vocabulary(name, [], {}, key)
+
+    stated = _stated(spark, given, attributes)
+    values = stated.select(F.upper("canonical").alias(key),
+                           *(F.upper(a).alias(a) for a in attributes))
+    claims = _claims(stated).collect()
+    return Vocabulary(
+        name, [row.asDict() for row in values.collect()],
+        {row["folded"]: row["canonical"] for row in claims}, key,
+        tuple(sorted((row["folded"], lost, row["canonical"])
+                     for row in claims for lost in row["others"])))
+
+
+def _stated(spark: SparkSession, given: Mapping[str, Mapping | None],
+            attributes: Sequence[str]) -> DataFrame:
+    """``at, canonical, aliases`` and attributes, a row per entry of a definition.
+
+    As local rows: the optimizer evaluates what follows from them without a job, or with
+    a small one.
+    """
+    text = lambda value: None if value is None else str(value)
+    rows = [(at, canonical, [str(alias) for alias in (body or {}).get("aliases") or ()],
+             *(text((body or {}).get(a)) for a in attributes))
+            for at, (canonical, body) in enumerate(given.items())]
+    return stated_rows(spark, {
+        "at": pa.int64(), "canonical": pa.string(), "aliases": pa.list_(pa.string()),
+        **dict.fromkeys(attributes, pa.string())}, rows)
+
+
+def _claims(stated: DataFrame) -> DataFrame:
+    """``folded, canonical, others``: who has each spelling, and who has lost it."""
+    spelled = stated.select("at", F.upper("canonical").alias("canonical"), F.explode(
+        F.concat(F.array("canonical"), "aliases")).alias("spelling"))
+    by_spelling = spelled.groupBy(fold(F.col("spelling")).alias("folded")).agg(
+        F.max_by("canonical", "at").alias("canonical"), F.collect_set("canonical").alias("all"))
+    return by_spelling.select("folded", "canonical", F.array_sort(F.array_except(
+        "all", F.array("canonical"))).alias("others"))
 
 
 def build_brands(spark: SparkSession, definition: Mapping[str, Mapping],
                  segments: Vocabulary, tiers: Vocabulary) -> Vocabulary:
     """The brand allowlist: every brand carries a known segment and tier."""
-    brands = build_vocabulary(spark, "brands", definition,
-                              attributes=("segment", "tier"))
-    for attribute, allowed in (("segment", segments), ("tier", tiers)):
-        known = {row["name"] for row in allowed.rows}
-        for row in brands.rows:
-            if row[attribute] not in known:
-                raise VocabularyError(f"brands: {row['name']}: {attribute} "
-                                      f"{row[attribute]!r} is not one of {sorted(known)}")
+    brands = build_vocabulary(spark, "brands", definition, attributes=("segment", "tier"))
+    if brands.rows:
+        held = brands.table(spark)
+        for attribute, allowed in (("segment", segments), ("tier", tiers)):
+            known = allowed.table(spark).select(F.col("name").alias(attribute))
+            unknown = held.join(known, attribute, "left_anti").orderBy("name").collect()
+            if unknown:
+                raise VocabularyError("brands: " + "; ".join(
+                    f"{row['name']}: {attribute} {row[attribute]!r} is not known"
+                    for row in unknown))
     return brands
 
 

@@ -57,17 +57,20 @@ def test_options(spark):
     options = [("Color", 1, ["red ", "Blue"]), (" SIZE ", 2, ["38"])]
     frame = spark.createDataFrame([(options, ["a", " xl ", None])],
                                   f"o {OPTIONS}, s array<string>")
-    position = fn.option_position(F.col("o"), fn.SIZE_OPTIONS)
+    by = fn.options_by_role(F.col("o"))
     row = frame.select(
-        position.alias("p"),
-        fn.slot_value(F.col("s"), position).alias("size"),
-        fn.slot_value(F.col("s"), fn.option_position(F.col("o"), fn.MATERIAL_OPTIONS)).alias("m"),
-        fn.slot_value(F.col("s"), F.lit(0)).alias("zero"),
-        fn.slot_value(F.col("s"), F.lit(9)).alias("beyond"),
-        fn.joined_values(F.col("o"), fn.COLOR_OPTIONS).alias("c"),
-        fn.joined_values(F.col("o"), fn.MATERIAL_OPTIONS).alias("none"),
-        fn.option_values(F.col("o"), fn.COLOR_OPTIONS).alias("v")).first()
+        by["size"]["position"].alias("p"),
+        fn.in_slot(F.col("s"), by["size"]["position"]).alias("size"),
+        fn.in_slot(F.col("s"), by["material"]["position"]).alias("m"),
+        fn.in_slot(F.col("s"), F.lit(0)).alias("zero"),
+        fn.in_slot(F.col("s"), F.lit(9)).alias("beyond"),
+        fn.listed(by["color"]["values"]).alias("c"),
+        fn.listed(by["material"]["values"]).alias("none"),
+        by["color"]["values"].alias("v")).first()
     assert tuple(row) == (2, "XL", None, None, None, "RED / BLUE", None, ["red ", "Blue"])
+    twice = spark.createDataFrame([([("Sex", 1, ["a"]), ("gender", 2, ["b"]), (None, 3, ["c"])],),
+                                   (None,), ([],)], f"o {OPTIONS}")
+    assert [r[0] for r in twice.select(by["gender"]["position"]).collect()] == [1, None, None]
 
 
 GENDERS = {"mens": "MEN", "men": "MEN", "womens": "WOMEN", "women": "WOMEN", "boys": "KIDS",
@@ -99,12 +102,6 @@ def test_fold_of_every_special_letter(spark):
         "oaeoessdlandaaaaaaeeeeiiiiooooouuuuyncsz9")
 
 
-def test_merge_arrays(spark):
-    frame = spark.createDataFrame([(["a"], None)], "a array<string>, b array<string>")
-    assert frame.select(fn.merge_arrays(F.col("a"), F.col("b"))).first()[0] == ["a"]
-    assert frame.select(fn.merge_arrays(F.col("b"))).first()[0] == []
-
-
 @pytest.mark.parametrize("day,expected", [
     (date(2026, 12, 31), (31, 53, 12, 4, "WINTER", 2026)),
     (date(2027, 1, 1), (1, 53, 1, 1, "WINTER", 2027)),

@@ -248,30 +248,43 @@ def test_second_load(spark, processed_run, loaded_model):
     assert [(r["where"], r["n"], r["sample"]) for r in off] == [("variants", 4, "4 of 8")]
 
 
+def held_dimensions(spark, **rows):
+    return {name: spark.createDataFrame(rows.get(name, []), ANALYTICAL[name])
+            for name in star.DIMENSIONS}
+
+
 def test_type_1_dimensions(spark):
-    held = spark.createDataFrame([(1, "A", 1, 1), (2, "GONE", 1, 1)], ANALYTICAL["dim_brand"])
-    segments = spark.createDataFrame([(1, "S"), (2, "T")], ANALYTICAL["dim_segment"])
-    tiers = spark.createDataFrame([(1, "L")], ANALYTICAL["dim_tier"])
+    held = held_dimensions(
+        spark, dim_brand=[(1, "A", 1, 1), (2, "GONE", 1, 1)], dim_segment=[(1, "S"), (2, "T")],
+        dim_tier=[(1, "L")], dim_retailer=[(5, "K", "old", 1)], dim_country=[(1, "IT", "ITALY")])
     brands = spark.createDataFrame([("A", "T", "NONE"), ("B", "S", "L"), (None, "S", "L")],
                                    "name string, segment string, tier string")
-    rows = {r["name"]: tuple(r)[0:1] + tuple(r)[2:] for r in
-            star.dim_brand(held, brands, segments, tiers).collect()}
-    assert rows == {"A": (1, 2, None), "GONE": (2, 1, 1), "B": (3, 1, 1)}
-
-    held = spark.createDataFrame([(5, "K", "old", 1)], ANALYTICAL["dim_retailer"])
-    countries = spark.createDataFrame([(1, "IT", "ITALY")], ANALYTICAL["dim_country"])
-    retailers = spark.createDataFrame([("K", "new", "IT"), ("N", "u", None)],
+    retailers = spark.createDataFrame([("K", "new", "IT"), ("N", "u", None), ("N", "u", None)],
                                       "name string, url string, country string")
-    rows = {r["name"]: tuple(r) for r in star.dim_retailer(held, retailers, countries).collect()}
-    assert rows == {"K": (5, "K", "new", 1), "N": (6, "N", "u", None)}
-
-
-def test_country_name_is_not_updated(spark):
-    held = spark.createDataFrame([(1, "IT", "ITALY")], ANALYTICAL["dim_country"])
+    got = star.dimensions(held, {"brands": brands, "retailers": retailers})
+    assert {tuple(r) for r in got["dim_brand"].collect()} == {
+        (1, "A", 2, None), (2, "GONE", 1, 1), (3, "B", 1, 1)}
+    assert {tuple(r) for r in got["dim_retailer"].collect()} == {
+        (5, "K", "new", 1), (6, "N", "u", None)}
+    assert got["dim_segment"].count() == 2
+    twice = retailers.unionByName(retailers.withColumn("url", F.lit("other")))
+    with pytest.raises(Exception, match="repeats a key: dim_retailer"):
+        star.dimensions(held, {"retailers": twice})["dim_retailer"].collect()
+
+
+def test_first_attributes_stay_and_numbers_go_on(spark):
+    held = held_dimensions(spark, dim_country=[(1, "IT", "ITALY")], dim_tier=[(7, "L")])
     countries = spark.createDataFrame([("IT", "ITALIA"), ("SE", "SWEDEN"), (None, "X")],
                                       "code string, name string")
-    assert sorted(tuple(r) for r in star.dim_country(held, countries).collect()) == [
+    names = spark.createDataFrame([("M",), ("L",), ("N",), ("M",)], "name string")
+    got = star.dimensions(held, {"countries": countries, "tiers": names, "segments": names})
+    assert sorted(tuple(r) for r in got["dim_country"].collect()) == [
         (1, "IT", "ITALY"), (2, "SE", "SWEDEN")]
+    tiers = {r["name"]: r["tier_key"] for r in got["dim_tier"].collect()}
+    assert tiers["L"] == 7 and sorted(tiers.values()) == [7, 8, 9]
+    assert sorted(r["segment_key"] for r in got["dim_segment"].collect()) == [1, 2, 3]
+    again = star.dimensions(got, {"tiers": names, "countries": countries})
+    assert {r["name"]: r["tier_key"] for r in again["dim_tier"].collect()} == tiers
 
 
 def test_unresolved_products_are_reported_not_loaded(spark):
