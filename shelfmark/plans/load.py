@@ -83,7 +83,8 @@ def load_analytical(history: TableStore, model: TableStore,
     # A fact joins its product's row, so its date is among those of the observations.
     date_keys = values_of(observed, "date_key")
     added["dim_product"] = load.write(
-        "dim_product", star.new_products(held["dim_product"], observed, date_keys), APPEND,
+        "dim_product", star.new_products(held["dim_product"], observed, date_keys,
+                                         model.highest("dim_product", "product_key")), APPEND,
         partition_by="date_key")
     facts = star.fact_rows(processed["variants"], load.pending("dim_product"),
                            dims["dim_retailer"], dims["dim_date"], dims["dim_currency"])

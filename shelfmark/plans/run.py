@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.lookup import unmatched_preview
 from ..session import cut_lineage
 from ..sources import raw
+from ..schemas import ddl
 from ..sources.tables import REPLACE, TableStore
 from ..vocabularies import Vocabulary
 from . import conform
@@ -42,8 +43,7 @@ def conform_run(shredded: raw.Shredded, vocabularies: Mapping[str, Vocabulary],
     tables: dict[str, DataFrame] = {}
     for vocabulary in vocabularies.values():
         current = vocabulary.table(spark)
-        held = (output.read(vocabulary.name) if output.has(vocabulary.name)
-                else current.limit(0))
+        held = output.read_or_empty(vocabulary.name, ddl(current.schema))
         tables[vocabulary.name] = conform.sync_vocabulary(held, current, vocabulary.key)
         report.vocabularies[vocabulary.name] = (held.count(), 0)
 

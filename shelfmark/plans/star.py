@@ -165,16 +165,18 @@ def unresolved_products(observations: DataFrame) -> DataFrame:
 
 
 def new_products(held: DataFrame, observations: DataFrame,
-                 date_keys: Sequence[int] | None = None) -> DataFrame:
+                 date_keys: Sequence[int] | None = None,
+                 highest: int | None = None) -> DataFrame:
     """DIM_PRODUCT rows to append: one per product, retailer and date not yet held.
 
     ``date_keys`` are all that the observations have, where they are known; only those
-    partitions of what is held are then read for their keys.
+    partitions of what is held are then read for their keys. ``highest`` is the highest
+    key held, where it is known (``TableStore.highest``); else all keys are read for it.
     """
     resolved = observations.dropna(subset=["retailer_key", "date_key"])
     fresh = new_rows(held, resolved, PRODUCT_KEYS, _within(date_keys))
     return interleaved_keys(fresh, "product_key", PRODUCT_KEYS,
-                            highest_key(held, "product_key"))
+                            highest_key(held, "product_key") if highest is None else highest)
 
 
 def fact_rows(variants: DataFrame, products: DataFrame, retailers: DataFrame,

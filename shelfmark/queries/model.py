@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ from ..operators.keys import BUCKETS, DIGEST_DIGITS
 from ..plans import conform, star
 from ..quality import loaded
 from ..schemas import ANALYTICAL
-from ..session import cut_lineage
+from ..session import cut_lineage, shared_folder
+from ..sources.tables import APPEND, TableStore
 from . import products as processed
 from . import retail
 from .registry import query, table
@@ -211,11 +214,16 @@ def dim_product_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """The crawls before 1998, then all of them: only the later ones are added."""
     dims = _dimensions(spark, folder)
     rows = conform.products(processed.described(spark, folder))
-    # Read three times below; a load would read it back from its table.
-    early = cut_lineage(star.new_products(_empty(spark, "dim_product"), _observed(
-        spark, folder, dims, rows.where("date < date'1998-01-01'"))))
-    added = star.new_products(early, _observed(spark, folder, dims, rows))
-    return early.unionByName(added)
+    store = TableStore(spark, f"{shared_folder(spark)}/products-{uuid.uuid4().hex}")
+    load = store.begin()
+    load.write("dim_product", star.new_products(_empty(spark, "dim_product"), _observed(
+        spark, folder, dims, rows.where("date < date'1998-01-01'"))), APPEND,
+        partition_by="date_key")
+    load.commit()
+    held = store.read("dim_product")
+    added = star.new_products(held, _observed(spark, folder, dims, rows),
+                              highest=store.highest("dim_product", "product_key"))
+    return held.select(*added.columns).unionByName(added)
 
 
 FACT_SQL = f"""{MODEL_SQL},

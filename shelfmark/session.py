@@ -26,12 +26,17 @@ def build_session(app_name: str = "shelfmark", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names, for tables of a run; a local one only where the
+    master is local and none is named."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark)).rstrip("/")
+
+
 def cut_lineage(frame: DataFrame) -> DataFrame:
     """Materialise ``frame`` in the shared checkpoint folder the cluster names."""
     spark = frame.sparkSession
     if not spark.sparkContext.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(folder or _own_folder(spark))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return frame.checkpoint(eager=True)
 
 

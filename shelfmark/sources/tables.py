@@ -1,14 +1,17 @@
-"""Stored tables: parquet folders, one per load, visible once the load is committed.
-
-``<root>/<table>/load=<n>/`` holds what load ``n`` wrote and
-``<root>/commits/load=<n>/`` names the tables it wrote and how. A load that fails
-leaves folders nothing reads; the next one takes the same number and overwrites them.
-Appending a crawl never rewrites an earlier one, and a table can be replaced while it
-is being read, since its new rows go to a new folder.
+"""Stored tables: Parquet folders below a root, one per table and load.
+
+``<root>/<table>/load=<id>/`` holds what a load wrote, ``<root>/loads/load=<id>/`` which
+tables that were and how, as one small file written last. A load is seen once that file
+is there; the folders of one that failed, or of another under way at the same time, are
+read by nobody. Ids are unique by themselves and in the order of their beginning, so
+no load ever takes another's folder. Appending a crawl rewrites nothing, and a table
+can be replaced while it is read.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -21,56 +24,61 @@ from ..functions.stamps import dataset_of
 from ..local import empty_frame, stated_rows
 
 APPEND, REPLACE = "append", "replace"
-_COMMIT = "table string, mode string, n_rows bigint, schema string, load bigint"
+_WRITTEN = {"table": pa.string(), "mode": pa.string(), "n_rows": pa.int64(),
+            "schema": pa.string()}
 
 
 class TableMissing(LookupError):
-    """No committed load holds the table."""
+    """No load holds the table."""
 
 
-@dataclass
-class TableStore:
-    """The tables under ``root`` as of when it was opened or last refreshed.
+def _there(frame):
+    """What ``frame`` reads, or nothing where its path is not there; other faults are raised."""
+    try:
+        return frame()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
-    A run so reads one state throughout, whatever is committed meanwhile. Beginning
-    and committing a load refresh it.
-    """
+
+@dataclass(frozen=True)
+class TableStore:
+    """The tables under ``root``."""
 
     spark: SparkSession
     root: str
-    _seen: list | None = field(default=None, repr=False, compare=False)
-
-    def refresh(self) -> None:
-        self._seen = None
 
-    def _commits(self) -> list:
-        # A few short rows per load: names, modes and schemas.
-        if self._seen is None:
-            try:
-                frame = self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
-                self._seen = sorted(frame.collect(), key=lambda r: r["load"])
-            except AnalysisException:
-                self._seen = []
-        return self._seen
+    def loads(self) -> DataFrame:
+        """``table, mode, n_rows, schema, load``: what every finished load wrote."""
+        found = _there(lambda: self.spark.read.schema(
+            "table string, mode string, n_rows bigint, schema string, load string").json(
+            f"{self.root}/loads"))
+        return empty_frame(self.spark, "table string, mode string, n_rows bigint, "
+                           "schema string, load string") if found is None else found
+
+    def _parts(self, table: str) -> list:
+        """The writes of a table that count: from the last replacement on."""
+        mine = self.loads().where(F.col("table") == table)
+        last = mine.where(F.col("mode") == REPLACE).agg(F.max("load")).scalar()
+        return mine.where(F.col("load") >= F.coalesce(last, F.lit(""))).orderBy(
+            "load").collect()
 
     def tables(self) -> set[str]:
-        return {row["table"] for row in self._commits()}
+        return {row[0] for row in self.loads().select("table").distinct().collect()}
 
-    def has(self, table: str) -> bool:
-        return table in self.tables()
-
-    def read(self, table: str, load: int | None = None) -> DataFrame:
-        """A table as of the latest commit, or only the rows one load wrote."""
-        writes = [r for r in self._commits() if r["table"] == table]
-        if load is not None:
-            writes = [r for r in writes if r["load"] == load]
-        if not writes:
+    def read(self, table: str, load: str | None = None) -> DataFrame:
+        """A table as it is now, or only the rows that one load wrote."""
+        parts = [p for p in self._parts(table) if load in (None, p["load"])]
+        if not parts:
             raise TableMissing(f"{self.root}/{table}")
-        whole = max((i for i, r in enumerate(writes) if r["mode"] == REPLACE), default=0)
-        paths = [f"{self.root}/{table}/load={r['load']}" for r in writes[whole:]]
-        # The schema is the one committed, so no footer is read to plan a query.
-        return (self.spark.read.schema(f"{writes[-1]['schema']}, load bigint")
-                .option("basePath", f"{self.root}/{table}").parquet(*paths).drop("load"))
+        return self._folders(table, parts[-1]["schema"], [p["load"] for p in parts])
+
+    def _folders(self, table: str, schema: str, loads: list[str]) -> DataFrame:
+        # The schema is the one stated, so no footer is read to plan a query.
+        return (self.spark.read.schema(f"{schema}, load string")
+                .option("basePath", f"{self.root}/{table}")
+                .parquet(*(f"{self.root}/{table}/load={x}" for x in loads)).drop("load"))
 
     def read_or_empty(self, table: str, schema: str) -> DataFrame:
         try:
@@ -78,34 +86,48 @@ class TableStore:
         except TableMissing:
             return empty_frame(self.spark, schema)
 
-    def last_load(self, table: str) -> int | None:
-        return max((r["load"] for r in self._commits() if r["table"] == table), default=None)
+    def highest(self, table: str, column: str) -> int:
+        """The highest value of a column by the footers of its files; 0 for no rows.
+
+        A session of its own reads the folders as a source that answers ``max`` from the
+        footers' statistics: no column of the history is read.
+        """
+        parts = self._parts(table)
+        if not parts:
+            return 0
+        return footer_max(self.spark, [f"{self.root}/{table}/load={p['load']}" for p in parts],
+                          parts[-1]["schema"], column).first()[0] or 0
 
     def counts(self) -> DataFrame:
-        """``table, load, mode, n_rows`` of every committed write."""
-        rows = [(r["table"], r["load"], r["mode"], r["n_rows"]) for r in self._commits()]
-        return stated_rows(self.spark, {"table": pa.string(), "load": pa.int64(),
-                                        "mode": pa.string(), "n_rows": pa.int64()}, rows)
+        """``table, load, mode, n_rows`` of every write."""
+        return self.loads().select("table", "load", "mode", "n_rows")
 
     def begin(self) -> Load:
-        self.refresh()
-        number = max((r["load"] for r in self._commits()), default=0) + 1
-        return Load(self, number)
+        # Nanoseconds as digits of one length: ids are in the order of their beginning.
+        return Load(self, f"{time.time_ns():019d}-{uuid.uuid4().hex[:8]}")
 
     def check_present(self, expected: Iterable[str]) -> list[tuple[str, str, str]]:
         """Missing and unexpected tables as ``(level, where, message)``."""
         held, expected = self.tables(), set(expected)
-        return ([("ERROR", t, "no committed load holds the table")
+        return ([("ERROR", t, "no finished load holds the table")
                  for t in sorted(expected - held)]
                 + [("WARN", t, "unexpected table") for t in sorted(held - expected)])
 
 
+def footer_max(spark: SparkSession, paths: list[str], schema: str, column: str) -> DataFrame:
+    """One row with the highest value of a column of Parquet folders, from their footers."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.schema(schema).parquet(*paths).agg(F.max(column))
+
+
 @dataclass
 class Load:
-    """Writes that become visible together, or not at all."""
+    """Writes that are seen together, or not at all."""
 
     store: TableStore
-    number: int
+    number: str
     written: list[tuple[str, str, int, str]] = field(default_factory=list)
 
     def write(self, table: str, frame: DataFrame, mode: str = REPLACE, *,
@@ -126,23 +148,17 @@ class Load:
         return counted.get["n"]
 
     def pending(self, table: str) -> DataFrame:
-        """The table as it will read after the commit."""
-        spark, root = self.store.spark, self.store.root
-        table_name, mode, _, schema = next(w for w in reversed(self.written) if w[0] == table)
-        mine = (spark.read.schema(f"{schema}, load bigint")
-                .option("basePath", f"{root}/{table_name}")
-                .parquet(f"{root}/{table_name}/load={self.number}").drop("load"))
-        if mode == REPLACE or not self.store.has(table):
+        """The table as it will read once this load is finished."""
+        _, mode, _, schema = next(w for w in reversed(self.written) if w[0] == table)
+        mine = self.store._folders(table, schema, [self.number])
+        if mode == REPLACE or table not in self.store.tables():
             return mine
         return self.store.read(table).unionByName(mine)
 
     def commit(self) -> None:
-        rows = stated_rows(self.store.spark, {
-            "table": pa.string(), "mode": pa.string(), "n_rows": pa.int64(),
-            "schema": pa.string()}, self.written)
+        rows = stated_rows(self.store.spark, _WRITTEN, self.written)
         (rows.coalesce(1).write.mode("overwrite")
-         .json(f"{self.store.root}/commits/load={self.number}"))
-        self.store.refresh()
+         .json(f"{self.store.root}/loads/load={self.number}"))
 
 
 def dataset_files(files: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from shelfmark.plans import conform, load, run, star, statistics
 from shelfmark.quality import findings, loaded, processed
 from shelfmark.schemas import ANALYTICAL, PROCESSED
 from shelfmark.sources import raw
-from shelfmark.sources.tables import APPEND, REPLACE, TableMissing, TableStore, dataset_files
+from shelfmark.sources.tables import (APPEND, REPLACE, TableMissing, TableStore, dataset_files,
+                                      footer_max)
 
 from .conftest import document, product, write_document
 
@@ -75,7 +76,7 @@ def test_run_report(spark, processed_run, vocabularies):
     store = processed_run[1]
     dry = run.conform_run(processed_run["shredded1"], vocabularies, store, dry_run=True)
     assert dry.rows == report.rows and dry.vocabularies["brands"] == (0, 4)
-    assert store.counts().where("load > 1").count() == 0
+    assert store.counts().select("load").distinct().count() == 1
 
 
 def test_processed_checks(spark, processed_run):
@@ -224,7 +225,9 @@ def test_second_load(spark, processed_run, loaded_model):
     day = "2026-08-31"
     run_tables, held = tables(processed_run[2]), tables(history)
     clean = loaded.processed_load_checks(run_tables, held, day)
-    assert clean.count() == 0
+    assert clean.count() == 0 and loaded.processed_load_checks(run_tables, held).count() == 0
+    first_run = loaded.processed_load_checks(tables(processed_run[1]), held, DAY_1[:10])
+    assert first_run.count() == 0
     dims = tables(model)
     assert loaded.analytical_load_checks(held, dims).count() == 0
     assert loaded.latest_date(held["products"]).first()["date"] == date(2026, 8, 31)
@@ -315,10 +318,10 @@ def test_store(spark, tmp_path):
         store.read("t")
     first = store.begin()
     assert first.write("t", spark.range(3)) == 3
-    assert not store.has("t")  # not committed, not visible
+    assert store.tables() == set()  # not committed, not visible
     first.commit()
     grown = store.begin()
-    assert grown.number == 2
+    assert grown.number > first.number
     grown.write("t", store.read("t").where("id > 0"), REPLACE)  # replaced while read
     grown.write("u", spark.range(2).withColumn("d", F.lit("x")), APPEND, partition_by="d")
     grown.commit()
@@ -333,12 +336,37 @@ def test_store(spark, tmp_path):
     assert last.write("u", spark.range(5).withColumn("d", F.lit("z")), APPEND, partition_by="d") == 5
     assert last.pending("u").count() == 7
     last.commit()
-    assert store.read("u").count() == 7 and store.read("u", load=4).count() == 5
-    assert store.last_load("u") == 4 and store.last_load("none") is None
+    assert store.read("u").count() == 7 and store.read("u", load=last.number).count() == 5
+    assert store.counts().where(F.col("load") == last.number).first()["n_rows"] == 5
     pruned = store.read("u").where("d = 'z'")
     assert "PartitionFilters: [isnotnull(d" in pruned._jdf.queryExecution().toString()
 
 
+def test_loads_at_once_do_not_meet(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    one, two = store.begin(), store.begin()
+    one.write("t", spark.range(3), APPEND)
+    two.write("t", spark.range(3, 8), APPEND)
+    two.commit()
+    assert store.read("t").count() == 5
+    one.commit()
+    assert sorted(r["id"] for r in store.read("t").collect()) == list(range(8))
+
+
+def test_the_highest_key_is_in_the_footers(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    assert store.highest("t", "k") == 0
+    for low in (0, 50):
+        load = store.begin()
+        load.write("t", spark.range(low, low + 50).select(
+            F.col("id").alias("k"), (F.col("id") % 3).alias("d")), APPEND, partition_by="d")
+        load.commit()
+    assert store.highest("t", "k") == 99
+    paths = [str(tmp_path / "t" / f"load={r['load']}") for r in store.counts().collect()]
+    text = footer_max(spark, paths, "k bigint, d bigint", "k")._jdf.queryExecution().toString()
+    assert "PushedAggregation: [MAX(k)]" in text and "max(k)" in text.lower()
+
+
 def test_dataset_listing(spark, processed_run):
     listed = raw.list_files(spark, processed_run[1].root, "*.parquet")
     names = {r["dataset"]: r["files"] for r in dataset_files(listed).collect()}
