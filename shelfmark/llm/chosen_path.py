@@ -372,7 +372,23 @@ def _routed_sets(size: int):
     return run
 
 
+def stars(found: list[tuple[int, int]], ids: np.ndarray) -> list[tuple[int, int]]:
+    """Of the links of some rows, each linked row with the smallest id it is connected to."""
+    root = {}
+
+    def of(x):
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for i, j in found:
+        low, high = sorted((of(i), of(j)), key=lambda x: ids[x])
+        root[high] = low
+    return [(x, of(x)) for x in root if of(x) != x]
+
+
 def _confirm(rule: Rule):
+    """Links of a unit: with queries, those found; else from each row to its smallest."""
     def run(table: pa.Table) -> pa.Table:
         ids = table.column("id").to_numpy()
         query = table.column("query").to_numpy()
@@ -380,7 +396,8 @@ def _confirm(rule: Rule):
         asked, others = np.flatnonzero(query == 1), np.flatnonzero(query == 0)
         pick = lambda rows: [sets[i] for i in rows]
         if not len(asked):
-            found = [(others[i], others[j]) for i, j in confirmed_within(pick(others), rule)]
+            found = stars([(others[i], others[j])
+                           for i, j in confirmed_within(pick(others), rule)], ids)
         else:
             found = [(asked[i], others[j]) for i, j in confirmed_between(
                 pick(asked), pick(others), rule)] if len(others) else []
@@ -398,11 +415,12 @@ def _confirmed(texts: DataFrame, routes: DataFrame, rule: Rule) -> DataFrame:
             .groupBy("unit").applyInArrow(_confirm(rule), "a bigint, b bigint"))
 
 
-def links(texts: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
-    """Confirmed links that connect all representatives that are connected by links.
+def linked(texts: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
+    """``id, component`` of every representative that is linked to a smaller one.
 
-    A family of few shingles is one unit. In a larger one, all members are compared with its
-    centre; those that are not linked to it are then compared with all, block by block.
+    A family of few shingles is one unit, whose task tells the components as well. In a
+    larger one, all members are compared with its centre; those that are not linked to it are
+    then compared with all, block by block.
     """
     edges = folders.written(candidates(reps, rule).distinct(), "candidate-links")
     family = folders.written(components(edges).join(reps.select("id", "n"), F.col("node")
@@ -411,11 +429,15 @@ def links(texts: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
                             "family-sizes")
     whole = family.join(sizes.where(f"total <= {FAMILY_SHINGLES}"), "component").select(
         "id", F.xxhash64("component").alias("unit"), F.lit(0).alias("query"))
-    found = [folders.written(_confirmed(texts, whole, rule), "links")]
+    found = _confirmed(texts, whole, rule).select(F.col("a").alias("id"),
+                                                  F.col("b").alias("component"))
     large = sizes.where(f"total > {FAMILY_SHINGLES}")
     if not large.isEmpty():
-        found += _large_families(texts, family.join(large, "component"), edges, rule)
-    return reduce(DataFrame.unionByName, found)
+        more = components(reduce(DataFrame.unionByName, _large_families(
+            texts, family.join(large, "component"), edges, rule)))
+        found = found.unionByName(more.where("node <> component").select(
+            F.col("node").alias("id"), "component"))
+    return folders.written(found, "linked")
 
 
 def _large_families(texts, family, edges, rule: Rule) -> list[DataFrame]:
@@ -473,12 +495,20 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         known.groupBy("first", "second").agg(F.min("id").alias("rep"), F.max("id").alias("k"))
         .where("k > rep").drop("k"), "classes"), FEW)
     classed = known.join(several, ["first", "second"], "left")
-    copies = classed.where("rep <> id").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     reps = classed.where(f"n >= {rule.least_size} AND (rep IS NULL OR rep = id)").select(
         "id", "n", "low", "high", "tokens").dropDuplicates(["id", "n", "low", "high"])
-    told = folders.small_enough(folders.written(
-        components(copies.unionByName(links(texts, reps, rule))), "components"), FEW)
-    return signed.join(told, signed["id"] == told["node"], "left").select(
+    told = linked(texts, reps, rule)
+    if known.groupBy("id").count().where("count > 1").isEmpty():
+        found = classed.select("id", F.coalesce("rep", "id").alias("rep")).join(
+            folders.small_enough(told.withColumnRenamed("id", "rep"), FEW), "rep", "left").select(
+            F.col("id").alias("node"), F.coalesce("component", "rep").alias("component")).where(
+            "node <> component")
+    else:               # an id may connect sets that no link connects
+        found = components(told.select(F.col("id").alias("a"), F.col("component").alias("b"))
+                           .unionByName(classed.where("rep <> id").select(
+                               F.col("id").alias("a"), F.col("rep").alias("b"))))
+    of = folders.small_enough(folders.written(found, "components"), FEW)
+    return signed.join(of, signed["id"] == of["node"], "left").select(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id")).withColumn(
         "kept", F.coalesce(F.col(id_column) == F.col("component_id"), F.lit(True)))
