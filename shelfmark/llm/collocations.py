@@ -35,6 +35,7 @@ COVERED = 50                # percent of a longer candidate that take a shorter
 TOP = 2000                  # phrases reported of each language
 DEPTH = 3                   # words of the longest candidate
 STRETCH = 16 << 20          # text whose suffixes are gathered together
+TOGETHER = 1 << 20          # text that is cut into words at a time
 BUCKET_BYTES = 16 << 20     # text behind a bucket
 HEAVY_SHARE = 8             # a word with more than an eighth of a bucket is heavy
 MOST_HEAVY = 500_000        # heavy words, 8 bytes each, that are sent to all tasks
@@ -89,17 +90,25 @@ class Words:
         return [self.key[several], second[several], third[several]]
 
 
-def _stretches(batch: pa.RecordBatch):
+def _stretches(batch: pa.RecordBatch, seed: int):
+    """The words of a stretch of text, in parts: what cutting it takes is bounded."""
     texts, langs = byte_column(batch.column(0)), batch.column(1).to_pylist()
     for low, high in grouped(texts, STRETCH):
-        yield texts[low:high], langs[low:high]
+        yield (Words(texts[low + a:low + b], langs[low + a:low + b], seed)
+               for a, b in grouped(texts[low:high], TOGETHER))
 
 
 def _counted(seed: int):
     def run(batches):
         for batch in batches:
-            for texts, langs in _stretches(batch):
-                yield Words(texts, langs, seed).distinct()
+            for parts in _stretches(batch, seed):
+                held = pa.Table.from_batches([part.distinct() for part in parts])
+                key, first, of = np.unique(held.column("w").to_numpy(), return_index=True,
+                                           return_inverse=True)
+                total = np.zeros(len(key), np.int64)
+                np.add.at(total, of, held.column("f").to_numpy())
+                yield from held.take(pa.array(first)).set_column(
+                    3, "f", pa.array(total)).to_batches()
     return run
 
 
@@ -144,8 +153,10 @@ def _bucket(*words: np.ndarray) -> np.ndarray:
 def _routed(seed: int, heavy, buckets: int):
     def run(batches):
         for batch in batches:
-            for texts, langs in _stretches(batch):
-                yield from routed(Words(texts, langs, seed).suffixes(), heavy.value, buckets)
+            for parts in _stretches(batch, seed):
+                suffixes = [np.concatenate(x) for x in zip(
+                    *(part.suffixes() for part in parts), strict=True)]
+                yield from routed(suffixes, heavy.value, buckets)
     return run
 
 
@@ -206,19 +217,19 @@ def frequent(keys: list[np.ndarray], weight: np.ndarray, least: int = LEAST):
     """
     n, deepest = len(weight), len(keys)
     flat = np.concatenate(keys) if n else np.empty(0, np.int32)
-    pointer = np.arange(n)
+    pointer = np.arange(n, dtype=np.int32)      # a bucket has fewer suffixes than 2 ** 31
     start, depth = np.zeros(min(n, 1), np.int64), np.zeros(min(n, 1), np.int64)
     dice, found = np.random.default_rng(7), []
     while len(pointer):
         size = np.diff(np.r_[start, len(pointer)])
         pivot = flat[depth * n + pointer[start + (dice.random(len(size)) * size).astype(int)]]
-        of = np.repeat(np.arange(len(start)), size)
+        of = np.repeat(np.arange(len(start), dtype=np.int32), size)
         key = flat[(depth * n)[of] + pointer]
-        side = (np.sign(key - pivot[of]) + 1).astype(np.int64)   # smaller, equal, larger
+        side = (np.sign(key - pivot[of]) + 1).astype(np.int32)   # smaller, equal, larger
         part = 3 * of + side
         count = np.bincount(part, minlength=3 * len(start))
         begin = np.cumsum(count) - count
-        place = np.empty(len(pointer), np.int64)
+        place = np.empty(len(pointer), np.int32)
         for s in range(3):
             here = np.flatnonzero(side == s)
             before = np.cumsum(count[s::3]) - count[s::3]        # of this side, by partition
