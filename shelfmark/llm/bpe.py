@@ -121,13 +121,28 @@ def piece_begins(symbol: np.ndarray) -> np.ndarray:
     return begins.T.ravel()[:n]
 
 
+def code_points(joined: bytes, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of some bytes, and where each begins.
+
+    A byte that is not part of valid UTF-8 is a symbol of its own, neither letter nor number.
+    """
+    try:
+        points = np.frombuffer(joined.decode("utf-8").encode("utf-32-le"), np.uint32)
+        return points, np.flatnonzero((data & 0xC0) != 0x80)
+    except UnicodeDecodeError:
+        text = joined.decode("utf-8", "surrogateescape")
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        size = np.digitize(points, [0x80, 0x800, 0x10000]) + 1
+        size[(points >= 0xDC80) & (points < 0xDD00)] = 1
+        return points, np.cumsum(size) - size
+
+
 def split(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The bytes of all texts; start, end and text of each piece."""
     joined = b"\n".join(texts) + b"\n"
     data = np.frombuffer(joined, np.uint8)
     sizes = np.array([len(t) + 1 for t in texts])
-    points = np.frombuffer(joined.decode("utf-8").encode("utf-32-le"), np.uint32)
-    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    points, lead = code_points(joined, data)
     ends = np.searchsorted(lead, np.cumsum(sizes) - 1)
     begins = piece_begins(symbols(points, ends))
     owner = np.repeat(np.arange(len(texts)), sizes)

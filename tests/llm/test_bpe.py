@@ -73,3 +73,19 @@ def test_offsets_and_clashing_columns(spark, vocabulary):
     tokens = bpe.encode(frame, PATH)
     assert bpe.decode(tokens, PATH).first().decoded == "The quick é".encode()
     assert row.whole == "x" and bpe.encode(frame.limit(0), PATH).count() == 0
+
+
+def test_bytes_that_are_not_utf8(spark, vocabulary, library):
+    plain = ["don't stop 12", "é!"]
+    odd = [b"a\xffb \xc3", b"\xe4\xb8", b"\xf0\x9f\x98 x\x80's", b"\xed\xa0\x80 y"]
+    ids, counts = vocabulary.encode([t.encode() for t in plain] + odd)
+    at = 0
+    for text, count in zip([t.encode() for t in plain] + odd, counts.tolist()):
+        assert vocabulary.decode(ids[at:at + count]) == text
+        at += count
+    assert ids[:counts[0]].tolist() == library.encode_ordinary(plain[0])
+    frame = spark.sql("SELECT 1L AS doc_id, cast(X'61FF62C3' AS string) AS text "
+                      "UNION ALL SELECT 2L, 'plain'")
+    got = {r.doc_id: r for r in bpe.byte_level_bpe(frame).collect()}
+    assert got[1].decoded_sha256 == hashlib.sha256(b"a\xffb\xc3").hexdigest()
+    assert got[2].n_tokens == len(library.encode_ordinary("plain"))
