@@ -128,7 +128,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray],
     """``docs`` and the columns ``lang_pred`` and ``score`` (cosine, 0 to 1).
 
     Texts that are null or have no letter are ``und`` with score 0; of equal cosines the
-    language first in order has it.
+    language first in order has it. Columns of those names give way to the results.
     """
     langs, prototypes = model
 
@@ -146,7 +146,8 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray],
         return pd.DataFrame(found, columns=["lang_pred", "score"])
 
     told = docs.withColumn("__language", nearest(F.col(text_column).cast("binary")))
-    return told.select(*[F.col(f"`{c}`") for c in docs.columns], "__language.*")
+    return told.select(*[F.col(f"`{c}`") for c in docs.columns
+                         if c not in ("lang_pred", "score")], "__language.*")
 
 
 def held_out(id_column: str = "doc_id"):
