@@ -68,6 +68,21 @@ def qc_nulls(spark: SparkSession, folder: str) -> DataFrame:
     return processed.column_checks(frame, "labelled", Table.of(*LABELS))
 
 
+@query(f"""
+WITH {LABELLED}
+SELECT 'ERROR' AS level, 'labelled' AS "where", c || ' is missing' AS "check", 1::BIGINT AS n,
+  NULL::VARCHAR AS sample FROM (VALUES ('toxic'), ('quality')) v(c)
+UNION ALL SELECT 'ERROR', 'none', 'no rows', 1, NULL FROM (SELECT count(*) AS n FROM labelled
+  WHERE doc_id < 0) WHERE n = 0
+""")
+def qc_missing_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """A table without columns it has to have, and one without rows."""
+    whole = labelled(spark, folder)
+    lacking = processed.table_checks(whole.drop("quality", "toxic"), "labelled", LABELLED_SPEC)
+    none = processed.table_checks(whole.where("doc_id < 0"), "none", LABELLED_SPEC)
+    return lacking.unionByName(none.where("level = 'ERROR'"))
+
+
 PARTS_UPPER = ("p_brand", "p_type", "p_name")
 
 

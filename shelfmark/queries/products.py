@@ -9,6 +9,7 @@ from ..operators.dedupe import first_per_key
 from ..operators.guards import select_sites
 from ..operators.lookup import first_resolved, resolve, resolve_arrays, unmatched
 from ..plans import conform, statistics
+from ..session import cut_lineage
 from . import retail
 from .registry import query, table
 from .text import fold_sql, percent_sql
@@ -103,7 +104,7 @@ def variants(spark: SparkSession, folder: str, products: DataFrame | None = None
     currencies = conform.crawl_currencies(
         retail.staged_crawls(spark, folder), retail.vocabularies(spark)["currencies"])
     if products is None:
-        products = described(spark, folder)
+        products = cut_lineage(described(spark, folder))    # a table, read twice
     return conform.variants(retail.staged_variants(spark, folder), products, currencies,
                             carry=carry)
 
@@ -189,3 +190,16 @@ def enabled_sites(spark: SparkSession, folder: str) -> DataFrame:
     sites = table(spark, folder, "supplier").select(
         "s_suppkey", F.col("s_name").alias("name"), (F.col("s_acctbal") > 0).alias("enabled"))
     return select_sites(sites)
+
+
+@query("""
+SELECT s_suppkey, s_name AS name, s_acctbal > 0 AS enabled FROM supplier
+WHERE s_suppkey IN (SELECT min(s_suppkey) FROM supplier UNION ALL
+                    SELECT max(s_suppkey) FROM supplier)
+""")
+def named_sites(spark: SparkSession, folder: str) -> DataFrame:
+    """Sites asked for by name, whether enabled or not."""
+    sites = table(spark, folder, "supplier").select(
+        "s_suppkey", F.col("s_name").alias("name"), (F.col("s_acctbal") > 0).alias("enabled"))
+    ends = sites.agg(F.min_by("name", "s_suppkey"), F.max_by("name", "s_suppkey")).first()
+    return select_sites(sites, list(ends))

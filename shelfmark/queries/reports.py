@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.profile import fill_rates, profile
+from ..operators.profile import STANDARD_ERROR, fill_rates, profile, sketches, united
 from ..operators.reconcile import reconcile_crawl_files, reconcile_datasets
 from ..quality import loaded
 from ..sources.tables import dataset_files
@@ -27,6 +27,31 @@ def profile_columns(spark: SparkSession, folder: str) -> DataFrame:
     return profile(labelled(spark, folder), PROFILED)
 
 
+SKETCHED = ("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "clerk")
+ORDERS = "SELECT *, CASE WHEN o_totalprice > 100000 THEN o_custkey % 100 END AS clerk FROM orders"
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count({c}) AS filled, "
+    f"{_rate(f'count({c})', 'count(*)')} AS fill_rate, count(DISTINCT {c}) AS n_distinct, "
+    f"true AS within FROM ({ORDERS})" for c in SKETCHED))
+def profile_of_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct counts of two loads from their sketches, beside the exact ones.
+
+    ``within`` says whether the estimate is no more than three standard errors off.
+    """
+    orders = table(spark, folder, "orders").withColumn("clerk", F.when(
+        F.col("o_totalprice") > 100000, F.col("o_custkey") % 100))
+    early = F.col("o_orderdate") < "1996-01-01"
+    told = united(sketches(orders.where(early), SKETCHED).unionByName(
+        sketches(orders.where(~early), SKETCHED))).withColumnRenamed("n_distinct", "estimate")
+    exact = profile(orders, SKETCHED).select("column", "n_distinct")
+    off = F.abs(F.col("estimate") - F.col("n_distinct"))
+    return told.join(exact, "column").select(
+        "column", "n_rows", "filled", "fill_rate", "n_distinct",
+        (off <= 3 * STANDARD_ERROR * F.col("n_distinct") + 0.5).alias("within"))
+
+
 @query(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count({c}) AS filled, "
     f"{_rate(f'count({c})', 'count(*)')} AS fill_rate "

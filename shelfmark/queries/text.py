@@ -83,6 +83,27 @@ def resolve_one_of(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", one_of(words, WORD_LANGUAGE, "SEVERAL").alias("language"))
 
 
+@query(f"""
+WITH words AS (
+  SELECT DISTINCT doc_id, {fold_sql("regexp_replace(w, '^[^:]*:', '')")} AS word
+  FROM (SELECT doc_id, unnest(['Lang: ' || lang, 'lang:' || source,
+    CASE WHEN doc_id % 3 = 0 THEN 'der' END]) AS w FROM documents) WHERE w IS NOT NULL),
+found AS (
+  SELECT doc_id, count(DISTINCT language) AS n, min(language) AS language
+  FROM words JOIN (VALUES ('en', 'ENGLISH'), ('de', 'GERMAN'), ('der', 'GERMAN'),
+    ('fr', 'FRENCH'), ('es', 'SPANISH')) v(word, language) USING (word) GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN n > 1 THEN 'SEVERAL' ELSE language END AS language
+FROM documents d LEFT JOIN found USING (doc_id)
+""")
+def resolve_prefixed(spark: SparkSession, folder: str) -> DataFrame:
+    """Values that say what they are of: ``Lang: en`` reads as ``en``."""
+    known = {"en": "ENGLISH", "de": "GERMAN", "der": "GERMAN", "fr": "FRENCH", "es": "SPANISH"}
+    values = F.array(F.concat(F.lit("Lang: "), "lang"), F.concat(F.lit("lang:"), "source"),
+                     F.when(F.col("doc_id") % 3 == 0, "der"))
+    return table(spark, folder, "documents").select(
+        "doc_id", one_of(values, known, "SEVERAL", strip_prefix=True).alias("language"))
+
+
 def part_options(parts: DataFrame) -> DataFrame:
     """Parts with an options array: size and color, in an order that varies."""
     size = F.struct(F.lit(" SIZE ").alias("name"),

@@ -237,3 +237,15 @@ def test_guards(spark):
     guards.require_datasets(listing, ["brands"])
     with pytest.raises(guards.InputError, match="tiers"):
         guards.require_datasets(listing, ["brands", "tiers"])
+
+
+def test_rows_without_a_key_go_before_the_shuffle(spark):
+    from shelfmark.operators.prefilter import key_bits, perhaps_among
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("a"),
+                                      F.when(F.col("id") % 9 > 0, F.col("id") % 5).alias("b"))
+    keyed = rows.where("a < 5000 AND b IS NOT NULL")
+    left = perhaps_among(rows, keyed, ["a", "b"])
+    assert left.columns == ["a", "b"] and left.where("a < 5000 AND b IS NOT NULL").count() \
+        == keyed.count() <= left.count() < keyed.count() + 20
+    assert perhaps_among(rows, keyed.limit(0), ["a", "b"]).count() == 0
+    assert key_bits(rows, ["a"]).agg(F.max(F.octet_length("bits"))).first()[0] == 4096
