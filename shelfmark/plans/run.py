@@ -8,9 +8,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.lookup import unmatched_preview
+from ..quality import processed
+from ..quality.findings import together
+from ..schemas import ddl
 from ..session import cut_lineage
 from ..sources import raw
-from ..schemas import ddl
 from ..sources.tables import REPLACE, TableStore
 from ..vocabularies import Vocabulary
 from . import conform
@@ -25,6 +27,8 @@ class RunReport:
     vocabularies: dict[str, tuple[int, int]] = field(default_factory=dict)
     # column -> (most frequent unmatched values, whether there are more)
     unmatched: dict[str, tuple[list[tuple[str, int]], bool]] = field(default_factory=dict)
+    # findings on the columns of all tables, from the pass that wrote them
+    findings: DataFrame | None = None
 
 
 def shred_run(spark: SparkSession, raw_path: str, shredded_path: str) -> raw.Shredded:
@@ -71,9 +75,12 @@ def conform_run(shredded: raw.Shredded, vocabularies: Mapping[str, Vocabulary],
             report.rows[name] = frame.count()
         else:
             report.rows[name] = load.write(
-                name, frame, REPLACE, files=1 if name in vocabularies else None)
+                name, frame, REPLACE, files=1 if name in vocabularies else None,
+                measures=processed.write_measures(name, frame.columns))
     if not dry_run:
         load.commit()
+        report.findings = together(processed.written_checks(
+            spark, name, tables[name].columns, load.observed[name]) for name in tables)
     for name, (before, _) in report.vocabularies.items():
         total = report.rows[name]
         report.vocabularies[name] = (total - before, total)

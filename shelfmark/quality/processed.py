@@ -4,35 +4,67 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.money import MAX_DISCOUNT_PERCENT
+from ..local import stated_rows
 from ..operators.reconcile import set_difference
 from ..schemas import PROCESSED, Table
 from .findings import ERROR, WARN, finding, raised, stated, together
 
 
-def column_checks(frame: DataFrame, name: str, spec: Table) -> DataFrame:
-    """Rows present, nulls, case and empty columns, all from one aggregate."""
-    filled = [c for c in spec.filled if c in frame.columns]
-    upper = [c for c in spec.names if c in frame.columns]
-    optional = [c for c in frame.columns if c not in spec.filled]
-    off_case = {c: F.col(c) != F.upper(c) for c in upper}
-    row = frame.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *(F.count(c).alias(f"_filled_{c}") for c in frame.columns),
-        *(F.count_if(off).alias(f"_case_{c}") for c, off in off_case.items()),
-        *(F.min(F.when(off, F.col(c))).alias(f"_sample_{c}") for c, off in off_case.items()))
-    rows = F.col("_rows")
+def measures(columns: Sequence[str], spec: Table) -> dict[str, Column]:
+    """What the checks of columns rest on: aggregates of one pass over the rows."""
+    held = {"rows": F.count(F.lit(1))}
+    for c in columns:
+        held[f"filled_{c}"] = F.count(c)
+        if c in spec.names:
+            off = F.col(c) != F.upper(c)
+            held |= {f"case_{c}": F.count_if(off), f"sample_{c}": F.min(F.when(off, F.col(c)))}
+    return held
+
+
+def judged(row: DataFrame, columns: Sequence[str], name: str, spec: Table) -> DataFrame:
+    """Findings of one row of ``measures``: rows present, nulls, case and empty columns."""
+    rows = F.col("rows")
     return raised(row, [
         finding(ERROR, name, "no rows", F.when(rows == 0, 1).otherwise(0)),
-        *(finding(ERROR, name, f"{c} is null", rows - F.col(f"_filled_{c}")) for c in filled),
-        *(finding(ERROR, name, f"{c} is not upper case", F.col(f"_case_{c}"),
-                  F.col(f"_sample_{c}")) for c in upper),
+        *(finding(ERROR, name, f"{c} is null", rows - F.col(f"filled_{c}"))
+          for c in spec.filled if c in columns),
+        *(finding(ERROR, name, f"{c} is not upper case", F.col(f"case_{c}"),
+                  F.col(f"sample_{c}")) for c in spec.names if c in columns),
         *(finding(WARN, name, f"{c} is null in every row",
-                  F.when(F.col(f"_filled_{c}") == 0, rows).otherwise(0)) for c in optional),
-    ])
+                  F.when(F.col(f"filled_{c}") == 0, rows).otherwise(0))
+          for c in columns if c not in spec.filled)])
+
+
+def column_checks(frame: DataFrame, name: str, spec: Table) -> DataFrame:
+    """Rows present, nulls, case and empty columns, all from one aggregate."""
+    row = frame.agg(*(m.alias(n) for n, m in measures(frame.columns, spec).items()))
+    return judged(row, frame.columns, name, spec)
+
+
+def write_measures(table: str, columns: Sequence[str]) -> dict[str, Column]:
+    """Aggregates to take of a processed table while it is written (``Load.write``)."""
+    held = measures(columns, PROCESSED[table])
+    if table == "variants":
+        held |= {f"money_{i}": F.count_if(rule) for i, (_, rule) in enumerate(money_rules())}
+    return held
+
+
+def written_checks(spark: SparkSession, table: str, columns: Sequence[str],
+                   observed: Mapping[str, object], spec: Table | None = None) -> DataFrame:
+    """Findings of a table from what was observed as it was written; it is not read again."""
+    kinds = {n: pa.string() if n.startswith("sample_") else pa.int64() for n in observed}
+    row = stated_rows(spark, kinds, [tuple(observed.values())])
+    found = judged(row, columns, table, spec or PROCESSED[table])
+    if table != "variants":
+        return found
+    return found.unionByName(raised(row, [
+        finding(ERROR, table, label, F.col(f"money_{i}"))
+        for i, (label, _) in enumerate(money_rules())]))
 
 
 def grain_check(frame: DataFrame, name: str, grain: Sequence[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from ..operators.reconcile import set_difference
 from ..plans import conform
 from ..quality import findings, loaded, processed
 from ..schemas import COUNT, GRAIN, NAME, NUMBER, OPTIONAL, PROCESSED, TEXT, Table, column
+from ..session import shared_folder
+from ..sources.tables import TableStore
 from . import products as conformed
 from . import retail
 from .registry import query, table
@@ -330,3 +334,30 @@ def two_way_difference(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem")
     return set_difference(lines.where("l_returnflag = 'A'"), lines.where("l_quantity > 40"),
                           ["l_partkey"])
+
+
+VARIANT_RULES = {
+    "price at or below zero": "price <= 0", "original_price not above price":
+    "original_price <= price", "original_price without price":
+    "original_price IS NOT NULL AND price IS NULL",
+    "sku is null": "sku IS NULL", "size is null": "size IS NULL",
+    "currency is null": "currency IS NULL", "variant is null": "variant IS NULL",
+    "size is not upper case": "size <> upper(size)"}
+STRICT = Table.of(*(column(f.name, f.dataType, *([NAME] if f.metadata[NAME] else []))
+                    for f in PROCESSED["variants"].struct.fields))
+
+
+@query(f"WITH {retail.STAGED_SQL} " + union_sql(*(
+    counted_sql("ERROR", "variants", check, "count(*)", f"variants WHERE {rule}",
+                "min(size) AS sample" if "upper" in check else NO_SAMPLE)
+    for check, rule in VARIANT_RULES.items())))
+def qc_while_writing(spark: SparkSession, folder: str) -> DataFrame:
+    """Findings on the variants from the pass that writes them; they are not read again."""
+    rows = conformed.variants(spark, folder)
+    measures = processed.measures(rows.columns, STRICT) | processed.write_measures(
+        "variants", rows.columns)
+    load = TableStore(spark, f"{shared_folder(spark)}/variants-{uuid.uuid4().hex}").begin()
+    load.write("variants", rows, measures=measures)
+    found = processed.written_checks(spark, "variants", rows.columns, load.observed["variants"],
+                                     STRICT)
+    return found.where(F.col("check").isin(*VARIANT_RULES))

@@ -12,12 +12,12 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.stamps import dataset_of
@@ -129,21 +129,26 @@ class Load:
     store: TableStore
     number: str
     written: list[tuple[str, str, int, str]] = field(default_factory=list)
+    observed: dict[str, dict] = field(default_factory=dict)
 
     def write(self, table: str, frame: DataFrame, mode: str = REPLACE, *,
-              partition_by: str | None = None, files: int | None = None) -> int:
+              partition_by: str | None = None, files: int | None = None,
+              measures: Mapping[str, Column] | None = None) -> int:
         """Write ``frame`` as this load's part of ``table``; returns the rows written.
 
-        The rows are counted while they are written, so the plan runs once.
+        The rows are counted while they are written, so the plan runs once; so are other
+        ``measures``, which ``observed`` then has by table.
         """
         if files:
             frame = frame.coalesce(files)
         counted = Observation()
-        writer = frame.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+        writer = frame.observe(counted, F.count(F.lit(1)).alias("n"), *(
+            m.alias(name) for name, m in (measures or {}).items())).write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(f"{self.store.root}/{table}/load={self.number}")
         schema = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in frame.schema)
+        self.observed[table] = {name: counted.get[name] for name in measures or {}}
         self.written.append((table, mode, counted.get["n"], schema))
         return counted.get["n"]
 

@@ -85,6 +85,9 @@ def test_processed_checks(spark, processed_run):
     got = processed.processed_checks(tables(store), staged)
     assert {(r["level"], r["where"], r["check"]) for r in got.collect()} == {
         ("WARN", "products", "material is null in every row")}
+    # The same of the columns from the pass that wrote the tables.
+    assert {tuple(r) for r in processed_run["report1"].findings.collect()} == {
+        tuple(r) for r in got.collect() if "null in every row" in r["check"]}
     assert store.check_present(PROCESSED) == []
     assert store.check_present([*PROCESSED, "more"])[0][:2] == ("ERROR", "more")
     assert store.check_present([])[0][0] == "WARN"
