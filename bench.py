@@ -20,7 +20,8 @@ HEADLINES = (
     "clean_text_documents", "fold_names", "resolve_one_of", "option_slots", "discount_rule",
     "calendar", "lookup_category", "unmatched_report", "allowlist_products", "variant_join",
     "discount_by_brand", "best_per_group", "dedupe_grain", "merge_insert_only",
-    "merge_upsert", "dim_brand_type1", "fact_observation", "qc_columns", "qc_grain",
+    "merge_upsert", "dim_brand_type1", "fact_observation", "fact_second_load",
+    "dim_product_snapshot", "vendor_check", "qc_columns", "qc_grain",
     "qc_money", "qc_orphans", "shred_documents", "trace_check", "first_delivery",
     "listing_yield", "barren_tail", "profile_columns", "manifest_reconcile", "partial_stock",
 )
