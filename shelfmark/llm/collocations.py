@@ -34,7 +34,7 @@ LEAST = 10                  # occurrences of a candidate
 COVERED = 50                # percent of a longer candidate that take a shorter one out
 TOP = 2000                  # phrases reported of each language
 DEPTH = 3                   # words of the longest candidate
-STRETCH = 16 << 20          # text whose suffixes are gathered together
+STRETCH = 4 << 20           # text whose suffixes are gathered together
 TOGETHER = 1 << 20          # text that is cut into words at a time
 BUCKET_BYTES = 16 << 20     # text behind a bucket
 HEAVY_SHARE = 8             # a word with more than an eighth of a bucket is heavy

@@ -74,7 +74,7 @@ def run(spark, rows, **more):
 @pytest.mark.parametrize("bucket", [16 << 20, 900])
 def test_against_plain_counts(spark, monkeypatch, bucket):
     monkeypatch.setattr(co, "BUCKET_BYTES", bucket)
-    monkeypatch.setattr(co, "STRETCH", 5000 if bucket == 900 else 16 << 20)
+    monkeypatch.setattr(co, "STRETCH", 5000 if bucket == 900 else 4 << 20)
     rows = corpus(3)
     assert run(spark, rows) == sorted(brute(rows))
     assert run(spark, rows[:100], least=3, top=7) == sorted(brute(rows[:100], 3, 7))
