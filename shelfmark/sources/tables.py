@@ -95,7 +95,7 @@ class TableStore:
         parts = self._parts(table)
         if not parts:
             return 0
-        return footer_max(self.spark, [f"{self.root}/{table}/load={p['load']}" for p in parts],
+        return footer_max(self.spark, f"{self.root}/{table}", [p["load"] for p in parts],
                           parts[-1]["schema"], column).first()[0] or 0
 
     def counts(self) -> DataFrame:
@@ -114,12 +114,14 @@ class TableStore:
                 + [("WARN", t, "unexpected table") for t in sorted(held - expected)])
 
 
-def footer_max(spark: SparkSession, paths: list[str], schema: str, column: str) -> DataFrame:
-    """One row with the highest value of a column of Parquet folders, from their footers."""
+def footer_max(spark: SparkSession, table: str, loads: list[str], schema: str,
+               column: str) -> DataFrame:
+    """One row with the highest value of a column of some loads, from their footers."""
     session = spark.newSession()
     session.conf.set("spark.sql.sources.useV1SourceList", "")
     session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    return session.read.schema(schema).parquet(*paths).agg(F.max(column))
+    return (session.read.schema(f"{schema}, load string").option("basePath", table)
+            .parquet(*(f"{table}/load={x}" for x in loads)).agg(F.max(column)))
 
 
 @dataclass

@@ -365,8 +365,9 @@ def test_the_highest_key_is_in_the_footers(spark, tmp_path):
             F.col("id").alias("k"), (F.col("id") % 3).alias("d")), APPEND, partition_by="d")
         load.commit()
     assert store.highest("t", "k") == 99
-    paths = [str(tmp_path / "t" / f"load={r['load']}") for r in store.counts().collect()]
-    text = footer_max(spark, paths, "k bigint, d bigint", "k")._jdf.queryExecution().toString()
+    loads = [r["load"] for r in store.counts().collect()]
+    text = footer_max(spark, str(tmp_path / "t"), loads, "k bigint, d bigint",
+                      "k")._jdf.queryExecution().toString()
     assert "PushedAggregation: [MAX(k)]" in text and "max(k)" in text.lower()
 
 
