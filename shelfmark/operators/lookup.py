@@ -13,6 +13,8 @@ from ..vocabularies import Vocabulary
 # A vocabulary is hinted for broadcast up to this many spellings (a few MB);
 # beyond it Spark chooses the join from its own statistics.
 BROADCAST_SPELLINGS = 50_000
+# Stands for null beside folded values, none of which holds a hyphen.
+NO_SPELLING = "-"
 
 
 def spellings_of(frame: DataFrame, vocabulary: Vocabulary | DataFrame) -> DataFrame:
@@ -20,8 +22,11 @@ def spellings_of(frame: DataFrame, vocabulary: Vocabulary | DataFrame) -> DataFr
     if isinstance(vocabulary, DataFrame):
         return vocabulary.select("folded", "canonical")
     table = vocabulary.spellings(frame.sparkSession)
-    small = len(vocabulary.lookup) <= BROADCAST_SPELLINGS
-    return F.broadcast(table) if small else table
+    return F.broadcast(table) if _small(vocabulary) else table
+
+
+def _small(vocabulary: Vocabulary | DataFrame) -> bool:
+    return isinstance(vocabulary, Vocabulary) and len(vocabulary.lookup) <= BROADCAST_SPELLINGS
 
 
 def resolve(frame: DataFrame, **outputs: tuple[Column | str, Vocabulary | DataFrame],
@@ -29,7 +34,9 @@ def resolve(frame: DataFrame, **outputs: tuple[Column | str, Vocabulary | DataFr
     """Add one canonical column per output: ``resolve(df, brand=("vendor", brands))``.
 
     A value no spelling matches becomes null; so does everything under an empty
-    vocabulary. A left join on the folded value, so no row is lost or doubled.
+    vocabulary. A left join on the folded value, so no row is lost or doubled. Where that
+    value is a column that is never null, a later filter on the output has no null test of
+    it derived, which would fold every value a second time.
     """
     for output, (raw, vocabulary) in outputs.items():
         raw = F.col(raw) if isinstance(raw, str) else raw
@@ -39,7 +46,10 @@ def resolve(frame: DataFrame, **outputs: tuple[Column | str, Vocabulary | DataFr
         folded = f"_folded_{output}"
         table = spellings_of(frame, vocabulary).select(
             F.col("folded").alias(folded), F.col("canonical").alias(output))
-        frame = frame.withColumn(folded, fold(raw)).join(table, folded, "left").drop(folded)
+        value = fold(raw)
+        if _small(vocabulary):
+            value = F.coalesce(value, F.lit(NO_SPELLING))
+        frame = frame.withColumn(folded, value).join(table, folded, "left").drop(folded)
     return frame
 
 

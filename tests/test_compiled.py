@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators.expressions import evaluated_once
+from shelfmark.operators import lookup
 from shelfmark.queries import REGISTERED, documents
 
 
@@ -54,3 +55,12 @@ def test_pieces_are_not_joined(spark, folder):
     texts = documents.document_texts(spark, folder, spark.createDataFrame(
         [("store-1-20240131T091402Z.json",), (None,)], "file_path string"))
     assert [r["file_path"] for r in texts.collect()] == ["store-1-20240131T091402Z.json"]
+
+
+def test_a_value_is_folded_once_for_an_allowlist(spark, vocabularies):
+    rows = spark.createDataFrame([("YSL",), ("x",), (None,)], "vendor string")
+    kept = lookup.resolve(rows, brand=("vendor", vocabularies["brands"])).where(
+        F.col("brand").isNotNull())
+    assert [r["brand"] for r in kept.collect()] == ["SAINT LAURENT"]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("regexp_replace" in line for line in plan.splitlines()) == 1

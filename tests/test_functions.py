@@ -150,3 +150,18 @@ def test_crawl_dates_are_utc_in_every_session_zone(spark):
             assert [d[0] for d in dates] == ["2026-08-30"] * 2
     finally:
         spark.conf.set("spark.sql.session.timeZone", held)
+
+
+def test_fold_of_plain_texts_is_that_of_others(spark):
+    rows = spark.range(0, 128).select(F.concat(
+        F.lit("A"), F.expr("char(id)"), F.lit("z& 9")).alias("s"))
+    # An accented letter at the end sends a text the other way.
+    other = F.concat("s", F.lit("é"))
+    odd = rows.where(F.concat(fn.text.fold(F.col("s")), F.lit("e")) != fn.text.fold(other))
+    assert odd.count() == 0
+    kept = rows.where(F.concat(fn.text.fold(F.col("s"), keep="\x01"), F.lit("e"))
+                      != fn.text.fold(other, keep="\x01"))
+    assert kept.count() == 0
+    raw = spark.sql("SELECT cast(unhex(h) AS string) AS s FROM VALUES ('41C3A9'), ('4180'), "
+                    "('41FF42') v(h)")
+    assert [r[0] for r in raw.select(fn.text.fold(F.col("s"))).collect()] == ["ae", "a", "ab"]
