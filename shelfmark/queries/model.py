@@ -213,7 +213,7 @@ SELECT * FROM early UNION ALL SELECT * FROM late
 def dim_product_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """The crawls before 1998, then all of them: only the later ones are added."""
     dims = _dimensions(spark, folder)
-    rows = conform.products(processed.described(spark, folder))
+    rows = cut_lineage(conform.products(processed.described(spark, folder)))   # read twice
     store = TableStore(spark, f"{shared_folder(spark)}/products-{uuid.uuid4().hex}")
     load = store.begin()
     load.write("dim_product", star.new_products(_empty(spark, "dim_product"), _observed(

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators.expressions import evaluated_once
 from shelfmark.operators import lookup
-from shelfmark.queries import REGISTERED, documents
+from shelfmark.queries import REGISTERED, documents, model
+from shelfmark.session import cut_lineage
 
 
 def test_costly_expressions_stand_in_a_projection(spark):
@@ -64,3 +65,10 @@ def test_a_value_is_folded_once_for_an_allowlist(spark, vocabularies):
     assert [r["brand"] for r in kept.collect()] == ["SAINT LAURENT"]
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
     assert sum("regexp_replace" in line for line in plan.splitlines()) == 1
+
+
+def test_products_of_two_loads_are_described_once(spark, monkeypatch):
+    cut = []
+    monkeypatch.setattr(model, "cut_lineage", lambda f: cut.append(f) or cut_lineage(f))
+    REGISTERED["dim_product_snapshot"].run(spark, "/root/testdata/sf0.001")
+    assert any("color" in frame.columns for frame in cut)
