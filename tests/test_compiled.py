@@ -72,3 +72,18 @@ def test_products_of_two_loads_are_described_once(spark, monkeypatch):
     monkeypatch.setattr(model, "cut_lineage", lambda f: cut.append(f) or cut_lineage(f))
     REGISTERED["dim_product_snapshot"].run(spark, "/root/testdata/sf0.001")
     assert any("color" in frame.columns for frame in cut)
+
+
+def test_ids_of_a_page_are_not_shuffled_one_by_one(spark, tmp_path):
+    spark.createDataFrame(
+        [(1, "a b a\nb c", 9), (1, "d a", 3), (2, "a a", 3), (3, None, None)],
+        "doc_id bigint, text string, n_chars bigint").repartition(3).write.parquet(
+        str(tmp_path / "documents.parquet"))
+    found = REGISTERED["page_first_delivery"].run(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert dealt and not any("product_id" in line for line in dealt)
+    got = sorted((r.site, r.product_id, r.seq, r.pos) for r in found.collect())
+    assert [g[:2] for g in got] == [
+        ("store-1", "a"), ("store-1", "b"), ("store-1", "c"), ("store-1", "d"), ("store-2", "a")]
+    assert got[4][2:] == (0, 0) and got[2][2:] == (1, 1)
