@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators.expressions import evaluated_once
 from shelfmark.operators import lookup
+from shelfmark.quality import raw as checks
 from shelfmark.queries import REGISTERED, documents, model
 from shelfmark.session import cut_lineage
+from shelfmark.sources import raw
 
 
 def test_costly_expressions_stand_in_a_projection(spark):
@@ -67,6 +69,30 @@ def test_a_value_is_folded_once_for_an_allowlist(spark, vocabularies):
     assert sum("regexp_replace" in line for line in plan.splitlines()) == 1
 
 
+def test_rows_of_documents_are_counted_in_one_pass(spark):
+    e = lambda **held: tuple(held.get(n) for n in raw.CHECKED_FIELDS)
+    rows = spark.createDataFrame([
+        ("f", "products", "a", None, e(id="a", vendor="v")), ("f", "products", "b", None, None),
+        ("f", "products", "b", None, e(id="x", vendor="")), ("f", "vendors", "v", 2, None),
+        ("f", "vendors", "w", None, None), ("f", "responses", None, None, e(
+            count=3, product_ids=["a", "c", None])), ("f", "responses", None, None, e()),
+        ("f", "listings", None, None, e(label="c0", stopped_reason="error", short_pages=[1, 2])),
+        ("f", "listings", None, None, e(label="*unfiltered*", stopped_reason="empty_page")),
+        ("f", "listings", None, None, None), ("f", "errors", None, None, e(page=4, error="late")),
+        ("f", "errors", None, None, e(page=2, error="z")), ("g", "vendors", None, 1, None)],
+        f"file string, container string, key string, number bigint, e {raw.CHECKED}")
+    held = checks.held_numbers(rows)
+    plan = held._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("LogicalRDD" in line or "LocalRelation" in line for line in plan.splitlines()) == 1
+    got = {r["file"]: r.asDict() for r in held.collect()}
+    assert got["f"] == {
+        "file": "f", "products_stored": 3, "products_received": 3, "pages": 2, "short_pages": 2,
+        "collections_crawled": 2, "foreign": 2, "listings": 3, "cut": 2, "failed": 2,
+        "why": "error", "first_error": "z", "bodiless": 1, "untraced": 1, "off_vendors": 1,
+        "off_vendor": "v"}
+    assert got["g"]["pages"] == 0 and got["g"]["why"] == "" and got["g"]["off_vendor"] is None
+
+
 def test_products_of_two_loads_are_described_once(spark, monkeypatch):
     cut = []
     monkeypatch.setattr(model, "cut_lineage", lambda f: cut.append(f) or cut_lineage(f))
