@@ -9,20 +9,27 @@ from pyspark.sql import functions as F
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str],
-             within: tuple[str, Sequence] | None = None) -> DataFrame:
+             within: tuple[str, Sequence] | None = None,
+             held_within: tuple[str, Sequence] | None = None) -> DataFrame:
     """Source rows whose key the target does not hold.
 
     The insert-only merge is this, appended: nothing the target holds is read
     beyond its keys, and nothing is rewritten. ``within`` is a partition column among
     the keys and the values of it that the source has (``values_of``); being literals,
-    they prune the target to those partitions when the query is planned. A null in a
-    key never matches.
+    they prune the target to those partitions when the query is planned. ``held_within``
+    is the same of the target: source rows with other values are new without a join, and
+    the source is read twice for that. A null in a key never matches.
     """
     held = target.select(*keys)
     if within:
         column, values = within
         held = held.where(F.col(column).isin([v for v in values if v is not None]))
-    return source.join(held, list(keys), "left_anti")
+    if held_within is None:
+        return source.join(held, list(keys), "left_anti")
+    column, values = held_within
+    met = F.coalesce(F.col(column).isin([v for v in values if v is not None]), F.lit(False))
+    return source.where(met).join(held, list(keys), "left_anti").select(
+        *source.columns).unionByName(source.where(~met))
 
 
 def values_of(frame: DataFrame, column: str) -> list:

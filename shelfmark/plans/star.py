@@ -200,10 +200,14 @@ def fact_rows(variants: DataFrame, products: DataFrame, retailers: DataFrame,
     )
 
 
-def new_facts(held: DataFrame, rows: DataFrame,
-              date_keys: Sequence[int] | None = None) -> DataFrame:
-    """Fact rows to append: the first write of an observation stays."""
-    return new_rows(held, rows, FACT_KEYS, _within(date_keys))
+def new_facts(held: DataFrame, rows: DataFrame, date_keys: Sequence[int] | None = None,
+              held_keys: Sequence[int] | None = None) -> DataFrame:
+    """Fact rows to append: the first write of an observation stays.
+
+    ``held_keys`` are all date keys that are held, where they are known; rows of others are
+    then not shuffled. ``rows`` are read twice for it, so they should be a table.
+    """
+    return new_rows(held, rows, FACT_KEYS, _within(date_keys), _within(held_keys))
 
 
 def _within(date_keys: Sequence[int] | None) -> tuple[str, Sequence[int]] | None:

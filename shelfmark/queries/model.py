@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..local import empty_frame
 from ..operators.keys import BUCKETS, DIGEST_DIGITS
+from ..operators.merge import values_of
 from ..plans import conform, star
 from ..quality import loaded
 from ..schemas import ANALYTICAL
@@ -189,7 +190,9 @@ def interleaved_sql(rows: str, start: str) -> str:
 
 def _dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     known = retail.vocabularies(spark)
-    crawls = cut_lineage(retail.staged_crawls(spark, folder))   # a table, read twice below
+    # A table, read twice below; what the crawls counted is no dimension's.
+    crawls = cut_lineage(retail.staged_crawls(spark, folder).select(
+        "site", "base_url", "country", "scraped_at"))
     return star.dimensions(_none(spark), {
         name: vocabulary.table(spark) for name, vocabulary in known.items()} | {
         "retailers": conform.retailers(crawls, known["countries"]),
@@ -245,8 +248,10 @@ def facts(spark: SparkSession, folder: str) -> DataFrame:
     described = cut_lineage(processed.described(spark, folder))  # read twice, as a table is
     observed = _observed(spark, folder, dims, conform.products(described))
     snapshot = star.new_products(_empty(spark, "dim_product"), observed)
-    rows = star.fact_rows(processed.variants(spark, folder, described), snapshot, dims["dim_retailer"],
-                          dims["dim_date"], dims["dim_currency"])
+    # Written, the shuffles behind the variants are gone before those of the fact begin.
+    variants = cut_lineage(processed.variants(spark, folder, described))
+    rows = star.fact_rows(variants, snapshot, dims["dim_retailer"], dims["dim_date"],
+                          dims["dim_currency"])
     return star.new_facts(_empty(spark, "fact_product_observation"), rows)
 
 
@@ -268,7 +273,7 @@ def fact_second_load(spark: SparkSession, folder: str) -> DataFrame:
     rows = cut_lineage(facts(spark, folder))    # the held table and the run, each read back
     held = rows.where("date_key <= 4 AND available")
     run = rows.where("date_key > 2").withColumn("price", F.col("original_price"))
-    return held.unionByName(star.new_facts(held, run))
+    return held.unionByName(star.new_facts(held, run, held_keys=values_of(held, "date_key")))
 
 
 @query(f"""

@@ -42,6 +42,16 @@ def test_insert_only_merge(spark):
     assert rows(merge.merge_insert_only(once, source, ["k"])) == rows(once)
 
 
+def test_rows_of_a_scope_that_is_not_held_are_not_joined(spark):
+    target = spark.createDataFrame([(1, 1, "x"), (2, 1, "x")], "k int, d int, v string")
+    source = spark.createDataFrame([(1, 1, "y"), (3, 1, "y"), (1, 2, "y"), (1, 2, "y"), (1, None, "y"),
+                                    (None, 1, "y")], "k int, d int, v string")
+    got = merge.new_rows(target, source, ["k", "d"], held_within=("d", [1, None]))
+    told = lambda frame: sorted(map(str, frame.collect()))
+    assert told(got) == told(merge.new_rows(target, source, ["k", "d"]))
+    assert got.columns == source.columns and got.count() == 5
+
+
 def test_insert_only_merge_within_a_scope(spark):
     target = spark.createDataFrame([(1, date(2026, 1, 1)), (1, date(2026, 1, 2))], "k int, date date")
     source = spark.createDataFrame([(1, date(2026, 1, 2)), (2, date(2026, 1, 2))], "k int, date date")

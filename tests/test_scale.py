@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from shelfmark.operators import dedupe, keys, lookup, merge, reconcile, trace
 from shelfmark.plans import conform
 from shelfmark.quality import processed
+from shelfmark.session import cut_lineage
 from shelfmark.sources.tables import APPEND, TableStore
 
 from .conftest import document, write_document
@@ -132,3 +134,15 @@ def test_tails_of_long_crawls(spark):
     assert walked == 3004
     budget = trace.tail_cutoff(frame, patience=None, page_budget=2500)
     assert budget.where("walked").count() == 2500
+
+
+def test_what_is_cut_is_a_compressed_table(spark, tmp_path):
+    frame = spark.range(200_000).select(
+        F.lit("the same text in every row").alias("a b"), F.array(F.lit(None).cast("int")).alias("x"),
+        F.create_map(F.lit("k"), F.col("id")).alias("m"))
+    kept = cut_lineage(frame)
+    assert kept.dtypes == frame.dtypes and kept.count() == 200_000
+    assert kept.where("x[0] IS NULL AND m['k'] >= 0").count() == 200_000
+    files = [Path(f.removeprefix("file://")) for f in kept.inputFiles()]
+    assert files and sum(f.stat().st_size for f in files) < 4_000_000
+    assert cut_lineage(frame.limit(0)).collect() == []
