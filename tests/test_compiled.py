@@ -12,7 +12,7 @@ from shelfmark.operators import lookup
 from shelfmark.quality import raw as checks
 from shelfmark.queries import REGISTERED, documents, model
 from shelfmark.session import cut_lineage
-from shelfmark.sources import raw
+from shelfmark.sources import pieces, raw
 
 
 def test_costly_expressions_stand_in_a_projection(spark):
@@ -69,6 +69,19 @@ def test_a_value_is_folded_once_for_an_allowlist(spark, vocabularies):
     assert sum("regexp_replace" in line for line in plan.splitlines()) == 1
 
 
+def test_pieces_are_told_once_for_all_checks(spark, folder, monkeypatch):
+    told, whole = [], documents.document_texts
+    monkeypatch.setattr(documents, "document_texts", lambda *a: told.append(a) or whole(*a))
+    found = REGISTERED["raw_split_checks"].run(spark, folder).count()
+    assert found and len(told) == 1
+    marked = pieces.marked(pieces.cut_text(whole(spark, folder)))
+    files = pieces.summary(marked)
+    one, two = raw.parts_at_once(marked), raw.parts_of_pieces(marked, files.where("NOT odd"))
+    line = lambda frame: sorted(map(str, frame.collect()))
+    assert line(one.tops.select("file")) == line(two.tops.select("file"))
+    assert line(one.rows) == line(two.rows)
+
+
 def test_rows_of_documents_are_counted_in_one_pass(spark):
     e = lambda **held: tuple(held.get(n) for n in raw.CHECKED_FIELDS)
     rows = spark.createDataFrame([
